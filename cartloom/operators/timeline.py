@@ -79,7 +79,7 @@ def dense_timeline(
     known = (
         anchors.unionByName(changes, allowMissingColumns=True)
         .withColumn(start, F.max(start).over(so_far))
-        .where(F.col("entered") >= F.greatest(F.col(start), first_day))
+        .where(F.col("entered") >= F.col(start))
     )
     stretches = known.select(
         key,

@@ -35,7 +35,7 @@ class Model:
     build: Callable[..., DataFrame]
     sources: Sequence[str] = ()
     refs: Sequence[str] = ()
-    materialized: str = "table"
+    materialized: str = "view"
     tags: Sequence[str] = ()
     description: str = ""
     columns: Mapping[str, str] = field(default_factory=dict)
@@ -48,6 +48,7 @@ MODELS: dict[str, Model] = {
     "stg_orders": Model(
         staging.stg_orders,
         sources=["orders"],
+        materialized="table",
         tags=["staging", "critical"],
         description="Orders with typed times, without test orders",
         columns={
@@ -72,6 +73,7 @@ MODELS: dict[str, Model] = {
     "stg_customers": Model(
         staging.stg_customers,
         sources=["customers"],
+        materialized="table",
         tags=["staging", "reference"],
         description="Customers and where they live",
         columns={
@@ -87,10 +89,11 @@ MODELS: dict[str, Model] = {
             Check("customer_state", "accepted_values", severity="warn", values=STATES),
         ],
     ),
-    "stg_order_items": Model(staging.stg_order_items, sources=["order_items"]),
+    "stg_order_items": Model(staging.stg_order_items, sources=["order_items"], materialized="table"),
     "stg_order_payments": Model(
         staging.stg_order_payments,
         sources=["order_payments"],
+        materialized="table",
         description="Payments of orders",
         columns={"payment_value": "Amount paid"},
         checks=[
@@ -100,14 +103,23 @@ MODELS: dict[str, Model] = {
         ],
         bucket_by="order_id",
     ),
-    "stg_order_items_snapshot": Model(staging.stg_order_items_snapshot, sources=["order_items", "orders"]),
-    "int_customer_landing": Model(customers.customer_landing, refs=["stg_orders", "stg_customers"]),
+    "stg_order_items_snapshot": Model(
+        staging.stg_order_items_snapshot, sources=["order_items", "orders"], materialized="table"
+    ),
+    "int_customer_landing": Model(
+        customers.customer_landing, refs=["stg_orders", "stg_customers"], materialized="table"
+    ),
     "int_customer_daily_features": Model(
         customers.customer_daily_features,
         refs=["int_customer_landing", "stg_orders", "stg_order_payments"],
+        materialized="table",
+    ),
+    "int_seller_performance": Model(
+        sellers.seller_performance, refs=["stg_order_items_snapshot"], materialized="table"
+    ),
+    "int_customer_tiers": Model(
+        customers.customer_tiers, refs=["stg_orders", "stg_order_payments"], materialized="table"
     ),
-    "int_seller_performance": Model(sellers.seller_performance, refs=["stg_order_items_snapshot"]),
-    "int_customer_tiers": Model(customers.customer_tiers, refs=["stg_orders", "stg_order_payments"]),
 }
 
 
@@ -229,6 +241,9 @@ class Project:
 
     def clean(self) -> list[str]:
         """Drop everything the models built; raw tables and seeds stay."""
+        for name, model in self.models.items():
+            if model.materialized == "view":
+                self.spark.catalog.dropTempView(name)
         return drop_built(self.spark, self.database)
 
     def summary(self) -> DataFrame:

@@ -22,7 +22,7 @@ SELLER_KEY, SELLER_TIME = "seller_id", "updated_at"
 def seller_performance(
     items: DataFrame,
     snapshot_date: dt.date | str = SNAPSHOT_DATE,
-    updated_at: dt.datetime | Column | None = None,
+    updated_at: dt.datetime | str | Column | None = None,
     thresholds: Sequence[float] | None = None,
 ) -> DataFrame:
     """Sales of every seller up to ``snapshot_date``.
@@ -137,12 +137,12 @@ def seller_tier_history(
     return close_versions(seller_performance_rounds(items, rounds, thresholds), SELLER_KEY, SELLER_TIME)
 
 
-def _time(updated_at: dt.datetime | Column | None) -> Column:
+def _time(updated_at: dt.datetime | str | Column | None) -> Column:
     if updated_at is None:
         updated_at = F.current_timestamp()
     elif not isinstance(updated_at, Column):
         # As text, so that no time zone of the Python process gets in.
-        updated_at = F.lit(updated_at.isoformat(sep=" "))
+        updated_at = F.lit(str(updated_at))
     return updated_at.cast("timestamp_ntz")
 
 

@@ -24,15 +24,18 @@ RUNTIME_CONF = {
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def configure(spark: SparkSession) -> SparkSession:
+def configure(spark: SparkSession, initial_partitions: int | None = None) -> SparkSession:
     """Apply the runtime settings to a session the caller owns and return it.
 
-    Shuffles start from three partitions per core (unless the cluster names a number) and
-    adaptive execution merges the small ones, so the same code fits 8 cores and 8,000.
+    Adaptive execution merges small shuffle partitions but never makes more than it starts
+    with. They start at ``initial_partitions`` (for large inputs, shuffled bytes / 128 MB), else
+    at what the session already names, else at three per core.
     """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
-    if spark.conf.get(INITIAL_PARTITIONS, None) is None:
+    if initial_partitions is not None:
+        spark.conf.set(INITIAL_PARTITIONS, str(initial_partitions))
+    elif spark.conf.get(INITIAL_PARTITIONS, None) is None:
         shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
         cores = spark.sparkContext.defaultParallelism
         if cores > shuffle:

@@ -46,8 +46,9 @@ class HistoryTable:
         state = F.when(F.col("valid_to").isNull(), "open").otherwise("closed")
         rows = versions.select("*", F.lit(done + 1).alias("round"), state.alias("state"))
         if done:
-            # A partition of an unfinished earlier try of this round, if any.
-            self._drop(f"round = {done + 1}")
+            # What an unfinished earlier try of this round may have written.
+            self._drop(done + 1, "open")
+            self._drop(done + 1, "closed")
             rows.write.insertInto(self.store)
         else:
             rows.write.partitionBy("round", "state").saveAsTable(self.store)
@@ -58,8 +59,9 @@ class HistoryTable:
         )
         # The round before may still have readers; the one before that is past use.
         if done > 1:
-            self._drop(f"round = {done - 1}, state = 'open'")
+            self._drop(done - 1, "open")
         return self.read()
 
-    def _drop(self, partition: str) -> None:
+    def _drop(self, number: int, state: str) -> None:
+        partition = f"round = {number}, state = '{state}'"
         self.spark.sql(f"ALTER TABLE {self.store} DROP IF EXISTS PARTITION ({partition})")

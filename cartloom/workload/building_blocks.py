@@ -171,7 +171,7 @@ GROUP BY 1
 def customer_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each customer on each day since the landing, counted per day; made without a cross join."""
     landing = customers.customer_landing(
-        m.stg_orders_input(spark, sf_dir), t.raw_customers(spark, sf_dir), t.EXCLUDED
+        m.stg_orders_input(spark, sf_dir), t.known_customers(spark, sf_dir), t.EXCLUDED
     )
     days = expand_days(landing.select("customer_id", "landing_date"), "landing_date", t.LAST_DAY)
     return days.groupBy("date").agg(
@@ -217,10 +217,10 @@ def missing_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """
+    f"""
 SELECT o_orderstatus AS status, COUNT(*) AS n_orders,
        CAST(SUM(CAST(o_totalprice AS DECIMAL(10,2))) AS DOUBLE) AS total,
-       ROUND(CAST(SUM(CAST(o_totalprice AS DECIMAL(10,2))) AS DOUBLE) / COUNT(*), 6) AS avg_price,
+       {m.mean_sql('CAST(o_totalprice AS DECIMAL(10,2))')} AS avg_price,
        CAST(MIN(o_orderdate) AS TIMESTAMP) AS first_time, CAST(MAX(o_orderdate) AS TIMESTAMP) AS last_time
 FROM orders GROUP BY 1 ORDER BY 1
 """

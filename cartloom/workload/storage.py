@@ -101,7 +101,7 @@ def view_materialization(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A model kept as a view and read by name."""
     view = f"cartloom_{uuid.uuid4().hex}"
     landing = m.customers.customer_landing(
-        m.stg_orders_input(spark, sf_dir), t.raw_customers(spark, sf_dir), t.EXCLUDED
+        m.stg_orders_input(spark, sf_dir), t.known_customers(spark, sf_dir), t.EXCLUDED
     )
     landing.createOrReplaceTempView(view)
     return spark.table(view).select("customer_id", "landing_date")

@@ -52,6 +52,11 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def known_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers' keys alone, for models that only ask whether a customer exists."""
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
+
+
 def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines; the quantity stands for the freight value."""
     return table(spark, sf_dir, "lineitem").select(

@@ -1,0 +1,73 @@
+"""A small hand-made shop with the edge cases of the models."""
+
+from cartloom.sources import RAW_SCHEMAS
+
+SELLER_A, SELLER_B = "sa", "sb"
+
+
+def order(order_id, customer_id, status, at):
+    return (order_id, customer_id, status, at, at, None, None, at)
+
+
+ORDERS = [
+    order("o1", "c1", "delivered", "2017-01-02 10:00:00"),
+    order("o2", "c1", "shipped", "2017-01-02 23:59:59"),
+    order("o3", "c1", "canceled", "2016-12-01 00:00:00"),
+    order("o4", "c1", "delivered", "2017-01-09 08:00:00"),
+    order("o5", "c2", "unavailable", "2017-02-01 08:00:00"),
+    order("o6", "c2", "delivered", "2017-02-03 08:00:00"),
+    order("o7", "c3", None, "2017-02-03 08:00:00"),
+    order("o8", "c3", "delivered", None),
+    order("o9", "c4", "delivered", "2018-12-01 12:00:00"),
+    order("o10", "c9", "delivered", "2017-05-01 12:00:00"),
+    order("o11", None, "delivered", "2017-05-01 12:00:00"),
+    order("o12", "c5", "created", "2015-11-30 12:00:00"),
+    order("o13", "c5", "delivered", "2016-01-20 12:00:00"),
+]
+CUSTOMERS = [
+    ("c1", "u1", "01151", "sao paulo", "SP"),
+    ("c2", "u2", "09790", "campinas", "SP"),
+    ("c3", "u3", "09790", None, "XX"),
+    ("c4", "u1", "00999", "recife", "PE"),
+    ("c5", "u5", "00999", "recife", "PE"),
+    ("c6", "u6", "00999", "recife", "PE"),
+    (None, "u7", "00999", "recife", None),
+]
+ITEMS = [
+    ("o1", 1, "p1", SELLER_A, "2017-01-05 00:00:00", 10.0, 1.5),
+    ("o1", 2, "p2", SELLER_A, "2017-01-05 00:00:00", 0.004, 0.0),
+    ("o2", 1, "p1", SELLER_B, "2017-01-05 00:00:00", 20.25, 2.0),
+    ("o3", 1, "p1", SELLER_A, "2017-01-05 00:00:00", 99.0, 2.0),
+    ("o4", 1, "p3", SELLER_A, "2017-01-12 00:00:00", 30.0, 2.0),
+    ("o4", 2, "p3", None, "2017-01-12 00:00:00", 30.0, 2.0),
+    ("o6", 1, "p1", SELLER_A, None, 0.0, 2.0),
+    ("o6", 2, "p1", SELLER_A, None, -1.0, 2.0),
+    ("o7", 1, "p1", SELLER_A, None, 5.0, 2.0),
+    ("o8", 1, "p1", SELLER_A, None, 5.0, 2.0),
+    (None, 1, "p1", SELLER_A, None, 5.0, 2.0),
+    ("none", 1, "p1", SELLER_A, None, 5.0, 2.0),
+]
+PAYMENTS = [
+    ("o1", 1, "credit_card", 3, 11.5),
+    ("o1", 2, "voucher", 1, 0.01),
+    ("o2", 1, "boleto", 1, 22.25),
+    ("o3", 1, "boleto", 1, 101.0),
+    ("o4", 1, "credit_card", 1, 32.0),
+    ("o6", 1, "credit_card", 1, 0.0),
+    ("o6", 2, "credit_card", 1, None),
+    ("o9", 1, "credit_card", 1, 5.0),
+    ("o10", 1, "credit_card", 1, 6.0),
+    ("o12", 1, "credit_card", 1, 7.0),
+    ("o13", 1, "credit_card", 1, 8.0),
+    (None, 1, "credit_card", 1, 9.0),
+    ("gone", 1, "credit_card", 1, 9.0),
+]
+TABLES = {"orders": ORDERS, "customers": CUSTOMERS, "order_items": ITEMS, "order_payments": PAYMENTS}
+
+
+def raw(spark, name):
+    return spark.createDataFrame(TABLES[name], RAW_SCHEMAS[name])
+
+
+def raw_tables(spark):
+    return {name: raw(spark, name) for name in TABLES}

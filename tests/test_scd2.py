@@ -1,0 +1,122 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from cartloom.operators import close_versions, scd2_apply
+from cartloom.operators.scd2 import scd2_start
+from cartloom.sources import HistoryTable, create_namespace, save_table
+from tests.compare import spark_rows
+
+SCHEMA = "id string, tier string, at timestamp_ntz"
+
+
+def day(n):
+    return dt.datetime(2018, 1, n)
+
+
+def state(spark, *rows):
+    return spark.createDataFrame([(k, tier, day(n)) for k, tier, n in rows], SCHEMA)
+
+
+def plain(history):
+    rows = history.select("id", "tier", "valid_from", "valid_to").collect()
+    return sorted(
+        (r["id"], r["tier"], r["valid_from"].day, r["valid_to"].day if r["valid_to"] else None) for r in rows
+    )
+
+
+def check_invariants(history):
+    rows = history.orderBy("id", "valid_from").collect()
+    by_key = {}
+    for r in rows:
+        by_key.setdefault(r["id"], []).append(r)
+    for versions in by_key.values():
+        assert [v["valid_to"] for v in versions] == [v["valid_from"] for v in versions[1:]] + [None]
+    assert len({r["version_id"] for r in rows}) == len(rows)
+
+
+def test_apply(spark):
+    first = scd2_start(state(spark, ("a", "bronze", 1), ("b", "bronze", 1), ("c", "gold", 5), ("d", "gold", 1)), "id", "at")
+    # a is newer, b is unchanged, c is older, d is missing, e is new.
+    current = state(spark, ("a", "silver", 2), ("b", "bronze", 1), ("c", "silver", 4), ("e", "bronze", 2))
+    second = scd2_apply(first, current, "id", "at")
+    assert plain(second) == [
+        ("a", "bronze", 1, 2),
+        ("a", "silver", 2, None),
+        ("b", "bronze", 1, None),
+        ("c", "gold", 5, None),
+        ("d", "gold", 1, None),
+        ("e", "bronze", 2, None),
+    ]
+    assert second.columns == first.columns
+    check_invariants(second)
+    assert spark_rows(scd2_apply(second, current, "id", "at")) == spark_rows(second)
+
+
+def test_same_tier_with_newer_time_is_a_new_version(spark):
+    history = scd2_start(state(spark, ("a", "gold", 1)), "id", "at")
+    history = scd2_apply(history, state(spark, ("a", "gold", 2)), "id", "at")
+    assert plain(history) == [("a", "gold", 1, 2), ("a", "gold", 2, None)]
+
+
+def test_key_with_only_closed_versions_opens_again(spark):
+    closed = scd2_start(state(spark, ("a", "gold", 1)), "id", "at").withColumn(
+        "valid_to", F.lit("2018-01-03").cast("timestamp_ntz")
+    )
+    history = scd2_apply(closed, state(spark, ("a", "silver", 4)), "id", "at")
+    assert plain(history) == [("a", "gold", 1, 3), ("a", "silver", 4, None)]
+
+
+def test_close_versions_equals_repeated_apply(spark):
+    states = [state(spark, ("a", "x", n), *([("b", "y", n)] if n > 2 else [])) for n in range(1, 5)]
+    history = scd2_start(states[0], "id", "at")
+    every = states[0]
+    for later in states[1:]:
+        history = scd2_apply(history, later, "id", "at")
+        every = every.unionByName(later)
+    assert spark_rows(close_versions(every, "id", "at")) == spark_rows(history)
+
+
+@pytest.fixture
+def table(spark):
+    create_namespace(spark, "history_test")
+    yield HistoryTable(spark, "history_test", "snap_tier", "id", "at")
+    spark.sql("DROP DATABASE history_test CASCADE")
+
+
+def test_history_table(spark, table):
+    states = [
+        state(spark, ("a", "bronze", 1), ("b", "bronze", 1)),
+        state(spark, ("a", "silver", 2), ("b", "bronze", 1)),
+        state(spark, ("a", "gold", 3), ("c", "bronze", 3)),
+        state(spark, ("a", "gold", 3), ("b", "silver", 4)),
+    ]
+    expected = scd2_start(states[0], "id", "at")
+    assert table.round() == 0
+    for n, current in enumerate(states):
+        if n:
+            expected = scd2_apply(expected, current, "id", "at")
+        history = table.apply(current)
+        assert table.round() == n + 1
+        assert spark_rows(history) == spark_rows(expected)
+        check_invariants(history)
+    # Open versions of rounds before the last two are gone, closed ones stay where they were written.
+    kept = spark.table(table.store).select("round", "state").distinct().collect()
+    assert {(r["round"], r["state"]) for r in kept} == {
+        (2, "closed"), (3, "closed"), (3, "open"), (4, "closed"), (4, "open"),
+    }
+
+
+def test_history_table_survives_an_unfinished_round(spark, table):
+    table.apply(state(spark, ("a", "bronze", 1)))
+    # A round that wrote rows but died before the view moved on.
+    left_over = spark.table(table.store).withColumn("round", F.lit(2))
+    left_over.write.insertInto(table.store)
+    assert plain(table.read()) == [("a", "bronze", 1, None)]
+    assert plain(table.apply(state(spark, ("a", "gold", 2)))) == [("a", "bronze", 1, 2), ("a", "gold", 2, None)]
+
+
+def test_history_table_survives_an_unfinished_first_round(spark, table):
+    save_table(state(spark, ("z", "gold", 9)), table.store)
+    assert plain(table.apply(state(spark, ("a", "bronze", 1)))) == [("a", "bronze", 1, None)]
