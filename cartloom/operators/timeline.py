@@ -36,7 +36,8 @@ def dense_timeline(
 
     ``starts`` has one row per key with its start date, ``amounts`` one row per key and day with
     the columns named by ``measures`` (output prefix -> column). The result has the key, the
-    start, ``out_day``, ``<prefix>_total`` and ``<prefix>_<n>d`` for each window of n days.
+    start, ``out_day``, ``<prefix>_total`` and ``<prefix>_<n>d`` for each window of n days, in the
+    type of the measure (a sum that does not fit raises).
 
     The dense rows are never joined, shuffled or sorted. An amount raises its n-day sum on its
     own day and lowers it again n days later, so every feature is a running sum over those few
@@ -48,6 +49,7 @@ def dense_timeline(
     totals = [f"{prefix}_total" for prefix in measures]
     rolled = {n: [f"{prefix}_{n}d" for prefix in measures] for n in windows}
     features = totals + [name for names in rolled.values() for name in names]
+    kinds = [amounts.schema[column].dataType for column in measures.values()] * (1 + len(rolled))
 
     # Every amount becomes 1 + len(windows) steps; `entered` is the day the amount was made.
     def step(on: Column, changes: dict[str, Column]) -> Column:
@@ -86,7 +88,10 @@ def dense_timeline(
         start,
         "on",
         F.lead("on").over(by_day).alias("until"),
-        *[F.coalesce(F.sum(f).over(so_far), F.lit(0)).alias(f) for f in features],
+        *[
+            F.coalesce(F.sum(f).over(so_far), F.lit(0)).cast(kind).alias(f)
+            for f, kind in zip(features, kinds, strict=True)
+        ],
     )
     # Steps of one day share their sums; only the last of them reaches past the day.
     end = F.coalesce(F.date_sub("until", 1), last_day)

@@ -84,10 +84,15 @@ def customer_daily_features(
     last_day: dt.date | str = LAST_DAY,
     excluded: Sequence[str] = EXCLUDED_STATUSES,
 ) -> DataFrame:
-    """Running totals and 7 and 14 day sums for every customer and day since the landing."""
+    """Running totals and 7 and 14 day sums for every customer and day since the landing.
+
+    The sums are decimal(18,2), the widest that is one machine word in memory and in files; this
+    is by far the largest table.
+    """
+    daily = daily_payments(orders, payments, excluded)
     days = dense_timeline(
         landing.select("customer_id", "landing_date"),
-        daily_payments(orders, payments, excluded),
+        daily.withColumn("daily_payment_value", F.col("daily_payment_value").cast("decimal(18,2)")),
         key="customer_id",
         start="landing_date",
         day="order_date",

@@ -7,7 +7,7 @@ import inspect
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartloom.operators.quality import Check, enforce, quality_report
 from cartloom.plans import customers, sellers, staging
@@ -206,18 +206,27 @@ class Project:
 
     def snapshot(self) -> DataFrame:
         """Record the present seller performance in the tier history."""
-        history = HistoryTable(
-            self.spark, self.database, SNAPSHOT, sellers.SELLER_KEY, sellers.SELLER_TIME
-        )
-        return history.apply(self.ref("int_seller_performance"))
+        return self._history().apply(self.ref("int_seller_performance"))
 
     def replay(self, rounds: Sequence[tuple[dt.date, dt.datetime | None]] | None = None) -> DataFrame:
-        """Rebuild the seller performance at each date and take a snapshot of it."""
-        for snapshot_date, updated_at in rounds or [(d, None) for d in sellers.REPLAY_DATES]:
-            self.run(
-                ["int_seller_performance"], {"snapshot_date": snapshot_date, "updated_at": updated_at}
-            )
-            history = self.snapshot()
+        """Seller performance as of each date, each recorded in the tier history.
+
+        The items are read for all dates together; a round without a calculation time gets the
+        present one. The seller performance is left as of the last date.
+        """
+        now = dt.datetime.now(dt.UTC).replace(tzinfo=None)
+        given = rounds or [(day, None) for day in sellers.REPLAY_DATES]
+        timed = sorted((day, at or now + dt.timedelta(microseconds=i)) for i, (day, at) in enumerate(given))
+        figures = sellers.seller_performance_rounds(
+            self.ref("stg_order_items_snapshot"), timed, self.variables.get("thresholds")
+        )
+        stored = self._table("int_seller_performance_rounds")
+        save_table(figures, stored)
+        for _, at in timed:
+            current = self.spark.table(stored).where(F.col(sellers.SELLER_TIME) == F.lit(str(at)).cast("timestamp_ntz"))
+            history = self._history().apply(current)
+        save_table(current, self._table("int_seller_performance"))
+        self.spark.sql(f"DROP TABLE {stored}")
         return history
 
     def test(self, select: Sequence[str] | None = None, raise_on_error: bool = True) -> DataFrame:
@@ -259,6 +268,9 @@ class Project:
         self.replay(rounds)
         return self.summary()
 
+    def _history(self) -> HistoryTable:
+        return HistoryTable(self.spark, self.database, SNAPSHOT, sellers.SELLER_KEY, sellers.SELLER_TIME)
+
     def _table(self, name: str) -> str:
         if name in self.models and self.models[name].materialized == "view":
             return quote(name)

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cartloom.functions.dates import date_literal
-from cartloom.functions.numbers import exact_avg
+from cartloom.functions.numbers import exact_avg, from_cents, to_cents
 from cartloom.functions.tiers import classify_tier
 from cartloom.operators.scd2 import close_versions
 
@@ -28,8 +28,9 @@ def seller_performance(
     """Sales of every seller up to ``snapshot_date``.
 
     ``updated_at`` is the time of the calculation, by default now; a fixed one makes runs
-    repeatable. The two distinct counts spread (seller, order) and (seller, product) pairs over
-    all tasks first, so a seller with a large share of the rows is not one task's work.
+    repeatable. For the distinct counts Spark spreads (seller, order) and (seller, product) pairs
+    over all tasks first, so a seller with a large share of the rows is not one task's work.
+    Every pair carries the sums; as cents they are one machine word.
     """
     totals = (
         items.where(F.col("order_date") <= date_literal(snapshot_date))
@@ -37,7 +38,7 @@ def seller_performance(
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
             F.count_distinct("product_id").alias("unique_products"),
-            F.sum("price").alias("total_revenue"),
+            F.sum(to_cents("price")).alias("cents"),
             F.count("price").alias("n_items"),
             F.min("order_date").alias("first_sale_date"),
             F.max("order_date").alias("last_sale_date"),
@@ -55,9 +56,9 @@ def seller_performance_rounds(
 
     The dates are cumulative, so each item, each order of a seller and each product of a seller
     is counted in the first round that sees it, and a running sum over a seller's rounds gives
-    the figures of each. Every item feeds three small groups: its (seller, order) pair, its
-    (seller, product) pair and its (seller, round) sums; all are combined before the shuffle and
-    none grows with a seller's share of the rows.
+    the figures of each. Every item feeds three groups: its (seller, order) pair, its (seller,
+    product) pair and its (seller, round) sums. All are combined before the shuffle and spread
+    over all tasks, and the work is that of one round, however many there are.
     """
     rounds = sorted(rounds)
     if any(later[1] <= earlier[1] for earlier, later in zip(rounds, rounds[1:])):
@@ -68,30 +69,30 @@ def seller_performance_rounds(
         first_round = F.when(F.col("order_date") <= rounds[i][0], i).otherwise(first_round)
     none = F.lit(None)
 
-    def group(slot: Column, order=none, product=none, price=none, date=none) -> Column:
+    def group(part: Column, order=none, product=none, cents=none, date=none) -> Column:
         return F.struct(
-            slot.alias("slot"),
+            # Sums are kept apart by round, the pairs are not.
+            part.alias("part"),
             order.alias("order_id"),
             product.alias("product_id"),
-            price.alias("price"),
+            cents.alias("cents"),
             date.alias("date"),
         )
 
-    round_name = F.concat(F.lit("round "), F.col("round"))
     groups = F.array(
-        group(F.lit("order"), order=F.col("order_id")),
-        group(F.lit("product"), product=F.col("product_id")),
-        group(round_name, price=F.col("price"), date=F.col("order_date")),
+        group(F.lit(-1), order=F.col("order_id")),
+        group(F.lit(-2), product=F.col("product_id")),
+        group(F.col("round"), cents=to_cents("price"), date=F.col("order_date")),
     )
     seen = (
         items.where(F.col("order_date") <= rounds[last][0])
         .withColumn("round", first_round)
         .select(SELLER_KEY, "round", F.inline(groups))
-        .groupBy(SELLER_KEY, "slot", "order_id", "product_id")
+        .groupBy(SELLER_KEY, "part", "order_id", "product_id")
         .agg(
             F.min("round").alias("round"),
-            F.sum("price").alias("revenue"),
-            F.count("price").alias("n_items"),
+            F.sum("cents").alias("cents"),
+            F.count("cents").alias("n_items"),
             F.min("date").alias("first_date"),
             F.max("date").alias("last_date"),
         )
@@ -99,7 +100,7 @@ def seller_performance_rounds(
     per_round = seen.groupBy(SELLER_KEY, "round").agg(
         F.count("order_id").alias("orders"),
         F.count("product_id").alias("products"),
-        F.sum("revenue").alias("revenue"),
+        F.sum("cents").alias("cents"),
         F.sum("n_items").alias("n_items"),
         F.min("first_date").alias("first_date"),
         F.max("last_date").alias("last_date"),
@@ -110,7 +111,7 @@ def seller_performance_rounds(
         SELLER_KEY,
         F.sum("orders").over(so_far).alias("total_orders"),
         F.sum("products").over(so_far).alias("unique_products"),
-        F.sum("revenue").over(so_far).cast("decimal(20,2)").alias("total_revenue"),
+        F.sum("cents").over(so_far).alias("cents"),
         F.sum("n_items").over(so_far).alias("n_items"),
         F.min("first_date").over(so_far).alias("first_sale_date"),
         F.max("last_date").over(so_far).alias("last_sale_date"),
@@ -147,6 +148,7 @@ def _time(updated_at: dt.datetime | str | Column | None) -> Column:
 
 
 def _finish(totals: DataFrame, thresholds: Sequence[float] | None) -> DataFrame:
+    totals = totals.withColumn("total_revenue", from_cents("cents"))
     return totals.select(
         SELLER_KEY,
         classify_tier("total_orders", "volume", thresholds).alias("seller_tier"),

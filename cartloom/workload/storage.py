@@ -132,7 +132,7 @@ SELECT v.*, {m.VERSION_ID_SQL}, updated_at, NULL FROM second v
 )
 def scd2_one_round(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One newer state applied to the history of a first one, without storing either."""
-    items = m.sold_items(spark, sf_dir)
+    items = m.stored_items(spark, sf_dir)
     first, second = (sellers.seller_performance(items, *r) for r in (t.ROUNDS[0], t.ROUNDS[2]))
     key, time = sellers.SELLER_KEY, sellers.SELLER_TIME
     return scd2_apply(scd2_start(first, key, time), second, key, time)
@@ -160,8 +160,7 @@ def snap_seller_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     database, location = new_database(spark)
     create_namespace(spark, database, location)
-    save_table(m.sold_items(spark, sf_dir), f"{quote(database)}.stg_order_items_snapshot")
-    items = spark.table(f"{quote(database)}.stg_order_items_snapshot")
+    items = m.stored_items(spark, sf_dir)
     history = HistoryTable(spark, database, SNAPSHOT, sellers.SELLER_KEY, sellers.SELLER_TIME)
     for snapshot_date, updated_at in (t.ROUNDS[0], t.ROUNDS[2], (t.ROUNDS[3][0], t.ROUNDS[0][1])):
         history.apply(sellers.seller_performance(items, snapshot_date, updated_at))

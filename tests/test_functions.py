@@ -13,8 +13,10 @@ from cartloom.functions import (
     date_spine,
     days_between,
     exact_avg,
+    from_cents,
     or_zero,
     surrogate_key,
+    to_cents,
     to_int,
     to_money,
     to_timestamp,
@@ -113,3 +115,12 @@ def test_exact_avg(spark):
     assert mean == (Decimal("20.02") / 3).quantize(Decimal(10) ** -16, ROUND_HALF_UP)
     (none,) = column(spark, [], "decimal(10,2)", exact_avg(F.sum("v"), F.nullif(F.count("v"), F.lit(0))))
     assert none is None
+
+
+def test_cents(spark):
+    values = [Decimal("0.00"), Decimal("-1.15"), Decimal("99999999.99"), None]
+    assert column(spark, values, "decimal(10,2)", to_cents("v")) == [0, -115, 9999999999, None]
+    assert column(spark, [1.15, 0.29, 4.35], "double", to_cents("v")) == [115, 29, 435]
+    assert column(spark, [10**18 + 1, -5, None], "bigint", from_cents("v")) == [
+        Decimal("10000000000000000.01"), Decimal("-0.05"), None,
+    ]

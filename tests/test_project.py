@@ -74,11 +74,24 @@ def test_reset(spark, project):
     # A second reset starts the history again.
     assert [tuple(r) for r in project.reset(ROUNDS).collect()] == expected
     assert spark_rows(project.ref(SNAPSHOT)) == history
+    # The performance is the one of the last round.
+    assert {r["updated_at"] for r in project.ref("int_seller_performance").collect()} == {ROUNDS[-1][1]}
     dropped = project.clean()
     assert set(dropped) == {*MODELS, SNAPSHOT, SNAPSHOT + "_versions"}
     assert project.ref(SEED).count() == 15
 
 
+def test_replay_equals_runs_and_snapshots_one_by_one(spark, project):
+    project.reset(ROUNDS)
+    replayed = spark_rows(project.ref(SNAPSHOT))
+    project.clean()
+    project.run()
+    for day, at in ROUNDS:
+        project.run(["int_seller_performance"], {"snapshot_date": day, "updated_at": at})
+        project.snapshot()
+    assert spark_rows(project.ref(SNAPSHOT)) == replayed
+
+
 def test_replay_with_calculation_times_of_its_own(project):
     project.run(["stg_order_items_snapshot"])
     project.variables.clear()

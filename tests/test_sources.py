@@ -109,7 +109,7 @@ def test_cleanup_and_summary(spark, database):
     ]
     # Dropping takes the names literally.
     assert drop_built(spark, database) == ["int_a", "mart_a", "snap_a", "stg_a", "stg_b", "stg_view"]
-    left = {t.name for t in spark.catalog.listTables(database)}
+    left = {t.name for t in spark.catalog.listTables(database) if not t.isTemporary}
     assert left == {"raw_a", "product_a", "intx", "cities"}
 
 
