@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cartloom.functions.dates import days_between
 from cartloom.functions.keys import surrogate_key
-from cartloom.functions.numbers import exact_avg
+from cartloom.functions.numbers import exact_avg, from_cents, to_cents
 from cartloom.functions.tiers import better_tier, classify_tier
 from cartloom.operators.joins import with_known_key
 from cartloom.operators.timeline import dense_timeline
@@ -48,13 +48,13 @@ def customer_landing(
 def paid_orders(
     orders: DataFrame, payments: DataFrame, excluded: Sequence[str] = EXCLUDED_STATUSES
 ) -> DataFrame:
-    """Sold orders with the sum and number of their payments, without the unpaid ones.
+    """Sold orders with the sum (in cents) and number of their payments, without the unpaid ones.
 
     Payments are added up per order before the join, so an order with very many payments joins
     as one row.
     """
     per_order = payments.groupBy("order_id").agg(
-        F.sum("payment_value").alias("paid"), F.count("payment_value").alias("n_payments")
+        F.sum(to_cents("payment_value")).alias("paid_cents"), F.count("payment_value").alias("n_payments")
     )
     sold = orders.where(counts_as_sale(excluded)).select(
         "order_id", "customer_id", F.col("order_purchase_timestamp").cast("date").alias("order_date")
@@ -70,7 +70,7 @@ def daily_payments(
         paid_orders(orders, payments, excluded)
         .groupBy("customer_id", "order_date")
         .agg(
-            F.sum("paid").alias("daily_payment_value"),
+            from_cents(F.sum("paid_cents")).alias("daily_payment_value"),
             F.count_distinct("order_id").alias("daily_order_count"),
         )
     )
@@ -128,7 +128,7 @@ def customer_tiers(
         .groupBy("customer_id")
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
-            F.sum("paid").cast("decimal(20,2)").alias("total_revenue"),
+            from_cents(F.sum("paid_cents")).alias("total_revenue"),
             F.sum("n_payments").alias("n_payments"),
             F.min("order_date").alias("first_order_date"),
             F.max("order_date").alias("last_order_date"),
