@@ -24,8 +24,11 @@ def namespace_exists(spark: SparkSession, database: str) -> bool:
 
 def create_namespace(spark: SparkSession, database: str, location: str | None = None) -> None:
     """Create a database unless it exists, by default in the cluster's warehouse."""
-    where = "" if location is None else f" LOCATION '{location}'"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(database)}{where}")
+    create = f"CREATE DATABASE IF NOT EXISTS {quote(database)}"
+    if location is None:
+        spark.sql(create)
+    else:
+        spark.sql(f"{create} LOCATION :location", {"location": location})
 
 
 def save_table(df: DataFrame, name: str, bucket_by: str | None = None, buckets: int = 0) -> None:
