@@ -23,6 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from cartloom.llm.shared import columns, stored
 from cartloom.llm.tokenizing import encoder
@@ -275,7 +276,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) -> D
                 names=batch.schema.names[:-1] + ["sequence_id", "offset"],
             )
 
-    return ranked.mapInArrow(place, pieces.schema.add("sequence_id", "long").add("offset", "long"))
+    added = StructType().add("sequence_id", "long").add("offset", "long")
+    return ranked.mapInArrow(place, StructType(pieces.schema.fields + added.fields))
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cartloom.llm import packing, token_files
-from cartloom.llm.shared import documents, prepared, shared_path
+from cartloom.llm import extraction, language, packing, sharding, token_files, topk
+from cartloom.llm.shared import columns, documents, prepared, shared_path
 from cartloom.llm.tokenizing import vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,18 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def fold(parts: int) -> Column:
+    """The crc32 of a document's number as text, modulo ``parts``."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+@query(topk.TOP_K_SQL)
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best inner products of every hundredth vector with all others."""
+    vectors = topk.whole_numbers(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return topk.top_k(vectors, F.col("vec_id") % 100 == 0)
+
+
 @query()
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in sequences of 2048 tokens."""
@@ -42,3 +54,27 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "tokens")
     token_files.write_token_files(documents(spark, sf_dir), path, vocabulary("word_bpe_49k.json"), False, 2)
     return token_files.checksums(token_files.read_token_files(spark, path))
+
+
+@query()
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    pages = extraction.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return pages.select("page_id", "url", "text", "n_chars")
+
+
+@query(sharding.shard_sql())
+def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard of every document."""
+    sized = documents(spark, sf_dir).select("doc_id", sharding.text_bytes("text").alias("n_bytes"))
+    return sharding.assign_shards(sized, "doc_id")
+
+
+@query()
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from three quarters of them."""
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(fold(4) == 2, F.lit(False))
+    model = language.learn(columns(docs, ("doc_id", "text", "lang")), ~held_out)
+    found = language.identify(columns(docs, ("doc_id", "text")), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
