@@ -31,7 +31,7 @@ FEATURES = 1 << FEATURE_BITS
 CLUSTERS = 4
 SAMPLE_ROWS = 4_000
 ROUNDS = 8
-REJECT_SHARE, REJECT_QUANTILE = 0.5, 0.001
+REJECT_SHARE, REJECT_QUANTILE = 0.25, 0.001
 UNKNOWN = "und"
 # Lengths in n-grams that part the texts for rejection.
 LENGTH_STEPS = np.array([4, 8, 16, 32, 64, 128, 256, 512])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cartloom.llm import extraction, language, packing, sharding, token_files, topk
+from cartloom.llm import extraction, language, packing, secret_scan, sharding, token_files, topk
 from cartloom.llm.shared import columns, documents, prepared, shared_path
 from cartloom.llm.tokenizing import vocabulary
 
@@ -48,6 +48,22 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
 
+@query()
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    found = secret_scan.scan(columns(documents(spark, sf_dir), ("doc_id", "text")))
+    spans = F.col("secret_spans")
+    count = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+    kinds = [rule.kind for rule in secret_scan.BASE_RULES]
+    base = F.filter(spans, lambda s: s["kind"].isin(kinds))
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in kinds],
+        F.sha2(secret_scan.listed(base).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.listed(spans).alias("spans"),
+    )
+
+
 @query()
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files of all documents, written and read back."""
