@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cartloom.llm import extraction, language, packing, secret_scan, sharding, token_files, topk
+from cartloom.llm import decontamination, extraction, language, packing, secret_scan, sharding, token_files, topk
 from cartloom.llm.shared import columns, documents, prepared, shared_path
 from cartloom.llm.tokenizing import vocabulary
 
@@ -64,12 +64,18 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op6_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of test items in all documents."""
+    return decontamination.find(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 @query()
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files of all documents, written and read back."""
     path = shared_path(spark, "tokens")
     token_files.write_token_files(documents(spark, sf_dir), path, vocabulary("word_bpe_49k.json"), False, 2)
-    return token_files.checksums(token_files.read_token_files(spark, path))
+    return token_files.checksums(spark, path)
 
 
 @query()

@@ -68,19 +68,21 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, keeps_spaces:
     ordered.mapInArrow(encode, FILE_SCHEMA).write.options(**FORMAT).parquet(path)
 
 
+def part_bases(spark: SparkSession, path: str) -> DataFrame:
+    """part, base: the ids before each range of documents; one row for each file's range."""
+    totals = spark.read.schema(FILE_SCHEMA).parquet(path).groupBy("part").agg(F.sum("n_tokens").alias("total"))
+    before = F.sum("total").over(Window.orderBy("part")) - F.col("total")
+    return totals.select("part", before.alias("base"))
+
+
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """The files with ``start``, the ids of all documents before each one; columns not asked for aren't read."""
     files = spark.read.schema(FILE_SCHEMA).parquet(path)
-    totals = files.groupBy("part").agg(F.sum("n_tokens").alias("total"))
-    # One row for each file's range, not for each document.
-    bases = totals.select(
-        "part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("base")
-    )
-    return files.join(bases, "part").withColumn("start", F.col("base") + F.col("part_start")).drop("base")
+    return files.join(part_bases(spark, path), "part").withColumn("start", F.col("base") + F.col("part_start")).drop("base")
 
 
-def checksums(files: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens and the unsigned crc32 of the ids as little-endian 32-bit integers."""
+def checksums(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start, n_tokens and the unsigned crc32 of the ids as little-endian 32-bit integers, from the files."""
 
     def crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,11 +90,14 @@ def checksums(files: DataFrame) -> DataFrame:
             offsets = ids.offsets.to_numpy()
             values = np.ascontiguousarray(ids.values.to_numpy(), dtype="<i4").view(np.uint8)
             sums = [zlib.crc32(values[4 * a : 4 * b]) for a, b in zip(offsets[:-1], offsets[1:])]
+            names = ["doc_id", "part", "part_start", "n_tokens"]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(n) for n in ("doc_id", "start", "n_tokens")] + [pa.array(sums, pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"],
+                [batch.column(n) for n in names] + [pa.array(sums, pa.int64())], names=[*names, "ids_crc32"]
             )
 
-    return files.select("doc_id", "start", "n_tokens", "ids").mapInArrow(
-        crc, "doc_id long, start long, n_tokens long, ids_crc32 long"
+    # The sums are taken before the join, so that no ids are shuffled.
+    summed = spark.read.schema(FILE_SCHEMA).parquet(path).mapInArrow(
+        crc, "doc_id long, part int, part_start long, n_tokens long, ids_crc32 long"
     )
+    placed = summed.join(part_bases(spark, path), "part")
+    return placed.select("doc_id", (F.col("base") + F.col("part_start")).alias("start"), "n_tokens", "ids_crc32")

@@ -18,7 +18,11 @@ CACHE_PIECES = 700_000
 
 # A space between white spaces, or after one at the end, is cut otherwise in the whole text than alone.
 ENTANGLED_SPACE = re.compile(r"\s (?:\s|\Z)")
-PUNCTUATION = ".,;:!?"
+# A word of letters that stay one letter in every normal form and case, and punctuation behind it. Both vocabularies
+# part the two, and encode the word in the same way wherever it stands.
+PLAIN_PIECE = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]*)")
+# New words that are encoded as one text.
+WORDS_AT_ONCE = 2_000
 
 
 def vocabulary(name: str) -> str:
@@ -32,7 +36,7 @@ class TextEncoder:
     """Texts to ids as little-endian unsigned 32-bit integers, equal to encoding each whole text.
 
     ``keeps_spaces``: a space belongs to the word that follows it (byte-level vocabulary); otherwise white
-    space only separates words.
+    space only separates words and case is ignored.
     """
 
     def __init__(self, path: str, keeps_spaces: bool):
@@ -40,44 +44,70 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.keeps_spaces = keeps_spaces
         self.before = " " if keeps_spaces else ""
-        self.after_space: dict[str, bytes] = {"": self._direct([self.before])[0]}
-        self.at_start: dict[str, bytes] = {"": b""}
+        # Ids that begin a word, in one vocabulary, or end one, in the other.
+        vocabulary = self.tokenizer.get_vocab()
+        self.is_edge = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        for token, i in vocabulary.items():
+            self.is_edge[i] = token.startswith("\u0120") if keeps_spaces else token.endswith("</w>")
+        self.known: dict[str, bytes] = {}  # pieces after a space
+        self.first: dict[str, bytes] = {}  # pieces at the start of a text, and punctuation
+        self._forget()
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         texts = [text or "" for text in texts]
-        whole = [bool(self.before) and ENTANGLED_SPACE.search(text) is not None for text in texts]
+        whole = [self.keeps_spaces and ENTANGLED_SPACE.search(text) is not None for text in texts]
         pieces = [[] if direct else text.split(" ") for text, direct in zip(texts, whole)]
-        self._learn(self.at_start, "", {p[0] for p in pieces if p})
-        self._learn(self.after_space, self.before, set().union(*[p[1:] for p in pieces]))
-        first, later = self.at_start, self.after_space.__getitem__
-        out = []
-        for text, direct, split in zip(texts, whole, pieces):
-            if direct:
-                out += self._direct([text])
-            else:
-                head = first[split[0]]
-                out.append(head + b"".join(map(later, split[1:])))
-        return out
+        heads = [""] * len(texts)
+        if self.keeps_spaces:
+            heads = [p.pop(0) if p else "" for p in pieces]
+        if len(self.known) > CACHE_PIECES:
+            self._forget()
+        self._learn(set().union(*pieces))
+        new = list(set(heads) - self.first.keys())
+        self.first.update(zip(new, self._direct(new)))
+        lookup = self.known.__getitem__
+        return [
+            self._direct([text])[0] if direct else self.first[head] + b"".join(map(lookup, split))
+            for text, direct, head, split in zip(texts, whole, heads, pieces)
+        ]
+
+    def _forget(self) -> None:
+        self.known = {"": self._direct([self.before])[0]}
+        self.first = {"": b""}
 
     def _direct(self, texts: Sequence[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
 
-    def _learn(self, known: dict[str, bytes], before: str, pieces: set[str]) -> None:
-        if len(known) > CACHE_PIECES:
-            empty = known[""]
-            known.clear()
-            known[""] = empty
+    def _learn(self, pieces: set[str]) -> None:
+        known = self.known
         new = pieces - known.keys()
-        # A word with punctuation behind it is the word and the punctuation, for both vocabularies.
-        stem = {p: s for p in new if (s := p.rstrip(PUNCTUATION)) != p and s.isalpha()}
-        plain = [p for p in new if p not in stem] + list(set(stem.values()) - known.keys() - new)
-        known.update(zip(plain, self._direct([before + p for p in plain])))
-        ends = list({p[len(s) :] for p, s in stem.items()} - self.at_start.keys())
-        self.at_start.update(zip(ends, self._direct(ends)))
-        for p, s in stem.items():
-            known[p] = known[s] + self.at_start[p[len(s) :]]
+        plain = [(p, *m.groups()) for p in new if (m := PLAIN_PIECE.fullmatch(p))]
+        if not self.keeps_spaces:
+            plain = [(p, word.lower(), end) for p, word, end in plain]
+        self._learn_words(list({word for _, word, _ in plain} - known.keys()))
+        ends = list({end for _, _, end in plain} - self.first.keys())
+        self.first.update(zip(ends, self._direct(ends)))
+        first = self.first
+        known.update({p: known[word] + first[end] for p, word, end in plain})
+        other = list(new - known.keys())
+        known.update(zip(other, self._direct([self.before + p for p in other])))
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Encode plain words many at a time and part the ids where a word begins or ends."""
+        for start in range(0, len(words), WORDS_AT_ONCE):
+            part = words[start : start + WORDS_AT_ONCE]
+            text = self.before + " ".join(part)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            edges = np.flatnonzero(self.is_edge[ids])
+            if len(edges) != len(part):
+                self.known.update(zip(part, self._direct([self.before + w for w in part])))
+                continue
+            cuts = (4 * (np.append(edges, len(ids)) if self.keeps_spaces else np.append(0, edges + 1))).tolist()
+            data = ids.tobytes()
+            self.known.update(zip(part, [data[a:b] for a, b in zip(cuts, cuts[1:])]))
 
 
 @lru_cache(maxsize=2)
