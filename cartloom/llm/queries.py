@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cartloom.llm import decontamination, extraction, language, packing, secret_scan, sharding, token_files, topk
+from cartloom.llm import decontamination, extraction, language, minhash, packing, secret_scan, sharding, token_files, topk
 from cartloom.llm.shared import columns, documents, prepared, shared_path
 from cartloom.llm.tokenizing import vocabulary
 
@@ -35,6 +35,13 @@ def fold(parts: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % parts
 
 
+@query(minhash.NEAR_DUPLICATE_SQL)
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate documents."""
+    found = minhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query(topk.TOP_K_SQL)
 def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best inner products of every hundredth vector with all others."""
