@@ -14,13 +14,18 @@ from functools import lru_cache
 
 import numpy as np
 
-CACHE_PIECES = 700_000
+CACHE_PIECES = 900_000
 
 # A space between white spaces, or after one at the end, is cut otherwise in the whole text than alone.
 ENTANGLED_SPACE = re.compile(r"\s (?:\s|\Z)")
-# A word of letters that stay one letter in every normal form and case, and punctuation behind it. Both vocabularies
-# part the two, and encode the word in the same way wherever it stands.
-PLAIN_PIECE = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]*)")
+# Texts of other characters than these (which stay one letter or sign in every normal form and case, and know no
+# white space but spaces and line ends) are cut at spaces only.
+UNUSUAL = re.compile("[^ -~\n¡-įı-ɏ‐-‧]")
+PLAIN_WORDS = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ \n]*")
+# A single sign behind a letter, at the end of a word: both vocabularies part the two.
+WORD_END = re.compile("([.,;:!?])(?<=[A-Za-zÀ-ÖØ-öø-įı-ɏ][.,;:!?])(?![^ \n])")
+# Marks a piece that no space goes before.
+BARE = "\x01"
 # New words that are encoded as one text.
 WORDS_AT_ONCE = 2_000
 
@@ -45,69 +50,82 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.keeps_spaces = keeps_spaces
-        self.before = " " if keeps_spaces else ""
         # Ids that begin a word, in one vocabulary, or end one, in the other.
         vocabulary = self.tokenizer.get_vocab()
         self.is_edge = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for token, i in vocabulary.items():
             self.is_edge[i] = token.startswith("\u0120") if keeps_spaces else token.endswith("</w>")
-        self.known: dict[str, bytes] = {}  # pieces after a space
-        self.first: dict[str, bytes] = {}  # pieces at the start of a text, and punctuation
-        self._forget()
+        self.line_end = vocabulary.get("\u010a", -1)
+        self.known: dict[str, bytes] = {}
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
+        cut = self._pieces if self.keeps_spaces else self._words
         texts = [text or "" for text in texts]
-        whole = [self.keeps_spaces and ENTANGLED_SPACE.search(text) is not None for text in texts]
-        pieces = [[] if direct else text.split(" ") for text, direct in zip(texts, whole)]
-        heads = [""] * len(texts)
-        if self.keeps_spaces:
-            heads = [p.pop(0) if p else "" for p in pieces]
+        pieces = [cut(text) for text in texts]
         if len(self.known) > CACHE_PIECES:
-            self._forget()
-        self._learn(set().union(*pieces))
-        new = list(set(heads) - self.first.keys())
-        self.first.update(zip(new, self._direct(new)))
+            self.known.clear()
+        self._learn(set().union(*[p for p in pieces if p is not None]))
         lookup = self.known.__getitem__
         return [
-            self._direct([text])[0] if direct else self.first[head] + b"".join(map(lookup, split))
-            for text, direct, head, split in zip(texts, whole, heads, pieces)
+            self._direct([text])[0] if split is None else b"".join(map(lookup, split))
+            for text, split in zip(texts, pieces)
         ]
 
-    def _forget(self) -> None:
-        self.known = {"": self._direct([self.before])[0]}
-        self.first = {"": b""}
+    def _words(self, text: str) -> list[str]:
+        """Pieces of a text whose white space counts for nothing."""
+        if UNUSUAL.search(text) is None:
+            text = WORD_END.sub(r" \1", text.lower())
+        return text.replace("\n", " ").split(" ")
+
+    def _pieces(self, text: str) -> list[str] | None:
+        """Pieces of a text whose spaces count; none if it must be encoded whole."""
+        if BARE in text or ENTANGLED_SPACE.search(text):
+            return None
+        if UNUSUAL.search(text) is None:
+            text = WORD_END.sub(f" {BARE}\\1", text)
+            if "\n\n" not in text and " \n" not in text and "\n " not in text and not text.endswith("\n"):
+                text = text.replace("\n", f" {BARE}\n {BARE}")
+        split = text.split(" ")
+        split[0] = BARE + split[0]
+        return split
 
     def _direct(self, texts: Sequence[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
 
     def _learn(self, pieces: set[str]) -> None:
-        known = self.known
-        new = pieces - known.keys()
-        plain = [(p, *m.groups()) for p in new if (m := PLAIN_PIECE.fullmatch(p))]
+        new = pieces - self.known.keys()
         if not self.keeps_spaces:
-            plain = [(p, word.lower(), end) for p, word, end in plain]
-        self._learn_words(list({word for _, word, _ in plain} - known.keys()))
-        ends = list({end for _, _, end in plain} - self.first.keys())
-        self.first.update(zip(ends, self._direct(ends)))
-        first = self.first
-        known.update({p: known[word] + first[end] for p, word, end in plain})
-        other = list(new - known.keys())
-        known.update(zip(other, self._direct([self.before + p for p in other])))
-
-    def _learn_words(self, words: list[str]) -> None:
-        """Encode plain words many at a time and part the ids where a word begins or ends."""
+            self._learn_like(list(new), "", "", " ")
+            return
+        bare = [p for p in new if p.startswith(BARE)]
+        self._learn_like([p[1:] for p in bare], BARE, "", "\n")
+        self._learn_like(list(new.difference(bare)), "", " ", " ")
+
+    def _learn_like(self, pieces: list[str], mark: str, before: str, between: str) -> None:
+        """Learn ``pieces`` as they are with ``before`` in front; words many at a time with ``between`` them."""
+        words = [p for p in pieces if p.isalpha()]
+        other = [p for p in pieces if not p.isalpha()]
         for start in range(0, len(words), WORDS_AT_ONCE):
             part = words[start : start + WORDS_AT_ONCE]
-            text = self.before + " ".join(part)
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
-            edges = np.flatnonzero(self.is_edge[ids])
-            if len(edges) != len(part):
-                self.known.update(zip(part, self._direct([self.before + w for w in part])))
+            text = before + between.join(part)
+            encoded = self._direct([text])[0] if PLAIN_WORDS.fullmatch(text) else b""
+            ids = np.frombuffer(encoded, dtype="<u4")
+            if between == "\n":
+                edges = np.flatnonzero(ids == self.line_end)
+                starts, ends = np.append(0, edges + 1), np.append(edges, len(ids))
+            elif before:
+                edges = np.flatnonzero(self.is_edge[ids])
+                starts, ends = edges, np.append(edges[1:], len(ids))
+            else:
+                edges = np.flatnonzero(self.is_edge[ids])
+                starts, ends = np.append(0, edges[:-1] + 1), edges + 1
+            if len(starts) != len(part) or not encoded:
+                other += part
                 continue
-            cuts = (4 * (np.append(edges, len(ids)) if self.keeps_spaces else np.append(0, edges + 1))).tolist()
-            data = ids.tobytes()
-            self.known.update(zip(part, [data[a:b] for a, b in zip(cuts, cuts[1:])]))
+            slices = [encoded[a:b] for a, b in zip((4 * starts).tolist(), (4 * ends).tolist())]
+            self.known.update(zip([mark + w for w in part] if mark else part, slices))
+        self.known.update(zip([mark + p for p in other], self._direct([before + p for p in other])))
 
 
 @lru_cache(maxsize=2)
