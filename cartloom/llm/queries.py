@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cartloom.llm import decontamination, extraction, language, minhash, packing, secret_scan, sharding, token_files, topk
+from cartloom.llm import decontamination, extraction, language, minhash, packing, secret_scan, sharding, token_files, topk, toxicity
 from cartloom.llm.shared import columns, documents, prepared, shared_path
 from cartloom.llm.tokenizing import vocabulary
 
@@ -55,6 +55,17 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
 
+@query()
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from two thirds of the labels."""
+    docs = columns(documents(spark, sf_dir), ("doc_id", "text"))
+    held_out = F.coalesce(fold(3) == 1, F.lit(False))
+    found = toxicity.score(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~held_out)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 @query()
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents."""
