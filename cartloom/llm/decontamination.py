@@ -1,7 +1,7 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-The word trigrams of the test items are looked for in all documents and counted; the rarer half of those that occur seed each
-item. Around every place where a document has a seed of an item, the passage that a copy of the item would fill, with room
+The word trigrams of the test items are looked for in all documents and counted; the rarer ``RARE_SHARE`` of those that occur
+seed each item. Around every place where a document has a seed of an item, the passage that a copy of the item would fill, with room
 for insertions, is aligned with the item word by word: ``MATCH`` for equal words, ``MISMATCH`` for different ones, ``GAP`` for
 left-out or inserted ones. The best local alignment's share of a full match is the score; from ``LEAST_SCORE`` on the document
 holds a copy, whether exact, edited or partly rewritten.
@@ -9,7 +9,7 @@ holds a copy, whether exact, edited or partly rewritten.
 Items go to the tasks in blocks of bounded size (``BLOCK_ITEMS`` and ``BLOCK_BYTES``; a larger benchmark takes a pass
 for each block), documents never move: no text is shuffled, and a document, however long, is aligned only around seeds.
 
-Words are runs of letters and digits in lower case. Defined cases: null and empty texts hold and are nothing; items of less
+Words are runs of ASCII letters, digits and any other characters but ASCII ones, in lower case. Defined cases: null and empty texts hold and are nothing; items of less
 than ``SEED_WORDS`` words can't be told from chance and are never found; items of equal text are found each; repeated
 documents give repeated rows; extra columns are ignored by ``find`` and kept by ``decontaminated``; empty tables give an empty
 result or, for no items, all documents.
@@ -24,40 +24,25 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from cartloom.llm.hashing import NO_WORD, word_hashes
 from cartloom.llm.shared import columns
 
 SEED_WORDS = 3
 # Share of an item's seeds, from the rarest on, that are used.
-RARE_SHARE = 0.5
+RARE_SHARE = 0.75
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SCORE = 0.5
 BLOCK_ITEMS, BLOCK_BYTES = 20_000, 16 << 20
-CACHE_WORDS = 500_000
 
-WORD = re.compile(r"[^\W_]+")
+WORD = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
 MAP_BITS = 20
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, kept while a worker lives, up to a bound."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-HASHES = WordHashes()
-
-
-def word_hashes(text: str | None) -> np.ndarray:
-    words = WORD.findall((text or "").lower())
-    return np.fromiter(map(HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
+def hashes_of(text: str | None) -> np.ndarray:
+    return word_hashes((text or "").lower().encode(), NO_WORD)
 
 
 def grams(words: np.ndarray) -> np.ndarray:
@@ -89,7 +74,7 @@ class Items:
 
     @classmethod
     def of(cls, rows: list[tuple]) -> Items:
-        words = [word_hashes(text) for _, text in rows]
+        words = [hashes_of(text) for _, text in rows]
         per_item = [grams(w) for w in words]
         gram = np.concatenate([np.zeros(0, np.uint64), *per_item])
         item = np.repeat(np.arange(len(rows)), [len(g) for g in per_item])
@@ -152,7 +137,7 @@ def copies_in(words: np.ndarray, items: Items) -> list[tuple[int, float, int, in
     windows: dict[int, list[list[int]]] = {}
     found = grams(words)
     for p in items.hits(words):
-        a, b = np.searchsorted(items.gram, [found[p]], side="left")[0], np.searchsorted(items.gram, [found[p]], side="right")[0]
+        a, b = np.searchsorted(items.gram, found[p]), np.searchsorted(items.gram, found[p], side="right")
         for k in range(a, b):
             item, place = int(items.item[k]), int(items.place[k])
             length = len(items.words[item])
@@ -187,7 +172,7 @@ def seed_counts(docs: DataFrame, items: Items) -> dict[int, int]:
         seen: Counter = Counter()
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                words = word_hashes(text)
+                words = hashes_of(text)
                 seen.update(np.unique(grams(words)[sent.value.hits(words)].view(np.int64)).tolist())
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], names=["gram", "n"]
@@ -226,7 +211,7 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             for batch in batches:
                 rows: list[tuple] = []
                 for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                    copies = copies_in(word_hashes(text), sent.value)
+                    copies = copies_in(hashes_of(text), sent.value)
                     # Lower case can have other lengths, so places are taken in the text as it is where it has as many words.
                     spans = word_spans(text) if copies else []
                     for item, score, a, b in copies:
@@ -259,7 +244,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def keep(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                clean = [not copies_in(word_hashes(t), sent.value) for t in batch.column("text").to_pylist()]
+                clean = [not copies_in(hashes_of(t), sent.value) for t in batch.column("text").to_pylist()]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         docs = docs.mapInArrow(keep, StructType(docs.schema.fields))

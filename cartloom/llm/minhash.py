@@ -30,6 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cartloom.llm.hashing import MIX, WHITE_SPACE, scrambled, word_hashes
 from cartloom.llm.shared import columns, stored
 
 SHINGLE_WORDS = 5
@@ -41,35 +42,12 @@ SMALL_BUCKET = 16
 # Classes that one task compares with the same class.
 COMPARED_AT_ONCE = 256
 SIZE_STEP = 1.02
-CACHE_WORDS = 500_000
-MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-class WordHashes(dict):
-    """64-bit hashes of words, kept while a worker lives, up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-HASHES = WordHashes()
-
-
-def scrambled(x: np.ndarray) -> np.ndarray:
-    """A one-to-one mix of 64-bit numbers."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
 
 
 def shingles(text: str | None) -> np.ndarray:
     """The distinct 64-bit shingle hashes of a text, ascending."""
-    # bytes.lower changes A to Z only, and bytes.split parts at the space and \\t to \\r only.
-    words = (text or "").encode().lower().split()
-    h = np.fromiter(map(HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
+    # bytes.lower changes A to Z only.
+    h = word_hashes((text or "").encode().lower(), WHITE_SPACE)
     if not len(h):
         return h
     width = min(SHINGLE_WORDS, len(h))
