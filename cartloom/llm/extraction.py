@@ -63,7 +63,7 @@ SENTENCE = re.compile(r"[.!?…。！？]")
 # Capacities: a block inside the main part, inside a side part, prose and links by their share of the text.
 INSIDE, ASIDE, PROSE, LINKED, SHORT = 3.0, 8.0, 2.0, 3.0, 1.0
 # Edges: neighbours in page order (divided by their distance in the tree), children of one parent.
-NEIGHBOUR, SIBLING = 0.8, 0.2
+NEIGHBOUR, SIBLING = 1.8, 0.4
 
 
 @dataclass

@@ -80,9 +80,10 @@ def directory(rows: DataFrame, first: int, last: int, limit_bytes: int) -> DataF
 
 
 def write_shards(docs: DataFrame, path: str, key: str = "doc_id", limit_bytes: int = LIMIT_BYTES) -> None:
-    """Write ``docs`` to ``path``, one folder for each shard."""
+    """Write ``docs`` to ``path``, one folder for each shard, named by ``b`` and its prefix."""
     sized = docs.withColumn("n_bytes", text_bytes("text"))
-    assign_shards(sized, key, limit_bytes).repartition("shard").write.partitionBy("shard").parquet(path)
+    shards = assign_shards(sized, key, limit_bytes).withColumn("shard", F.concat(F.lit("b"), "shard"))
+    shards.repartition("shard").write.partitionBy("shard").parquet(path)
 
 
 def shard_sql(limit_bytes: int = LIMIT_BYTES) -> str:

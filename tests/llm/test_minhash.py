@@ -1,0 +1,115 @@
+import itertools
+import random
+
+import numpy as np
+
+from cartloom.llm import minhash
+from tests.llm.shared import documents, rows, sentence
+
+
+def brute_force(data):
+    """doc_id -> (set size, component) by comparing all pairs of word-shingle sets."""
+    sets = []
+    for doc_id, text, *_ in data:
+        words = (text or "").encode().lower().split()
+        width = min(5, len(words))
+        sets.append((doc_id, {tuple(words[i : i + width]) for i in range(len(words) - width + 1)} if words else set()))
+    parent = {d: d for d, _ in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for (a, s), (b, t) in itertools.combinations(sets, 2):
+        if s and 100 * len(s & t) >= 85 * len(s | t):
+            low, high = sorted((root(a), root(b)))
+            parent[high] = low
+    return {d: (len(s), root(d)) for d, s in sets}
+
+
+def edited(rng, text, edits):
+    words = text.split()
+    for _ in range(edits):
+        words[rng.randrange(len(words))] = f"edit{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def check(spark, data):
+    found = minhash.near_duplicates(documents(spark, data))
+    expected = brute_force(data)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found.collect()}
+    assert got == expected
+    assert {r["doc_id"] for r in found.filter("kept").collect()} == {d for d, (_, c) in expected.items() if d == c}
+
+
+def test_components_against_brute_force(spark):
+    rng = random.Random(3)
+    data = [(i, sentence(i, 60)) for i in range(20)]
+    data += [(100 + i, edited(rng, sentence(i % 20, 60), i % 3)) for i in range(60)]
+    data += [(300, None), (301, ""), (302, " \n\t"), (303, "one two"), (304, "ONE  two"), (305, "one two three")]
+    data += [(400, sentence(5, 30_000)), (401, sentence(5, 30_000).upper())]
+    check(spark, data)
+
+
+def test_large_group_of_near_copies_and_a_common_passage(spark):
+    """Buckets too large for pairs: links on either side of the threshold, chains, and texts that only share a passage."""
+    rng = random.Random(5)
+    base, passage = sentence(1, 150), sentence(7, 70, 3)
+    data = [(i, edited(rng, base, rng.randrange(0, 7))) for i in range(150)]
+    for i in range(40):  # copies of copies
+        data.append((200 + i, edited(rng, data[rng.randrange(150)][1], 1)))
+    data += [(1000 + i, f"{sentence(i, 50, 5)} x{i} {passage}") for i in range(80)]
+    check(spark, data)
+
+
+def test_rare_shingle_pairs_are_exact(spark, monkeypatch):
+    """Without small buckets and with every class a component of its own, the exact path finds all links."""
+    rng = random.Random(9)
+    data = [(i, edited(rng, sentence(i % 4, 80 + i % 5), rng.randrange(0, 5))) for i in range(120)]
+    sets = [minhash.shingles(t) for _, t in data]
+    by_class = {minhash.class_of(s): s for s in sets}
+    crowd = spark.createDataFrame([(c, len(s), c) for c, s in by_class.items()], "class long, n long, comp long")
+    texts = spark.createDataFrame([(minhash.class_of(s), t) for s, (_, t) in zip(sets, data)], "class long, text string")
+    pairs = {frozenset((r["left"], r["right"])) for r in minhash.rare_shingle_pairs(crowd, texts.distinct()).collect()}
+    links = {
+        frozenset((a, b)) for (a, s), (b, t) in itertools.combinations(by_class.items(), 2) if minhash.linked(s, t)
+    }
+    assert links and links <= pairs
+
+
+def test_confirmed_keeps_only_links(spark):
+    a, b, c = sentence(1, 100), edited(random.Random(1), sentence(1, 100), 1), sentence(2, 100)
+    ids = [minhash.class_of(minhash.shingles(t)) for t in (a, b, c)]
+    texts = spark.createDataFrame(list(zip(ids, (a, b, c))), "class long, text string")
+    pairs = spark.createDataFrame([(ids[0], ids[1]), (ids[0], ids[2])], "left long, right long")
+    assert rows(minhash.confirmed(pairs, texts)) == [(ids[0], ids[1])]
+
+
+def test_components_of_a_long_chain(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001)], "left long, right long")
+    roots = dict(rows(minhash.components(chain)))
+    assert roots == {i: 0 for i in range(1, 301)} | {1001: 1000}
+
+
+def test_deduplicated_rows(spark):
+    text = sentence(1, 40)
+    data = [(3, text), (2, text.upper()), (2, text.upper()), (5, sentence(9, 40)), (None, text), (7, None), (7, None)]
+    kept = minhash.deduplicated(documents(spark, data))
+    assert kept.columns == documents(spark, data).columns
+    assert rows(kept.select("doc_id")) == [(2,), (5,), (7,)]
+    nobody = [(None, text), (None, text.upper()), (None, "other words entirely here now")]
+    assert minhash.deduplicated(documents(spark, nobody)).count() >= 2
+
+
+def test_empty_table(spark):
+    nothing = documents(spark, [])
+    assert minhash.near_duplicates(nothing).count() == 0
+    assert minhash.deduplicated(nothing).count() == 0
+
+
+def test_collection_keys_agree_where_all_their_hashes_do():
+    s = minhash.shingles(sentence(1, 50))
+    keys = minhash.collection_keys(s)
+    assert len(keys) == 2 * minhash.COLLECTION == len(set(keys.tolist()))
+    assert (keys == minhash.collection_keys(np.sort(s))).all()
