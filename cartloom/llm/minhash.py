@@ -42,6 +42,8 @@ SMALL_BUCKET = 16
 # Classes that one task compares with the same class.
 COMPARED_AT_ONCE = 256
 SIZE_STEP = 1.02
+# Rare shingles that a row of the exact path carries along at most.
+CARRIED = 64
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -213,7 +215,10 @@ def rare_shingle_pairs(crowd: DataFrame, texts: DataFrame) -> DataFrame:
     n = F.col("n")
     # Alone, a shingle finds nobody, but takes its place.
     rows = placed.join(crowd, "class").filter((F.col("place") <= n - F.ceil(n * PERCENT / 100.0 - 1e-9) + 1) & (F.col("df") > 1))
-    rows = stored(rows.select("token", "place", "class", "n", "comp"), "prefixes")
+    # What a pair shares further on, it has met by before: the shingles up to there go along, up to a bound.
+    earlier = Window.partitionBy("class").orderBy("place").rowsBetween(-CARRIED, -1)
+    before = F.when(F.col("place") <= CARRIED, F.collect_list("token").over(earlier))
+    rows = stored(rows.select("token", "place", "class", "n", "comp").withColumn("before", before), "prefixes")
     index = rows.filter(F.col("place") <= n - overlap(n, n) + 1).withColumn("step", size_step(n))
     least = F.ceil(n * PERCENT / 100.0 - 1e-9)
     probe = rows.withColumn("step", F.explode(F.sequence(size_step(least), size_step(n))))
@@ -227,16 +232,17 @@ def rare_shingle_pairs(crowd: DataFrame, texts: DataFrame) -> DataFrame:
     )
     a = index.join(main, ["token", "step"]).select(
         "token", "step", "comps", F.col("class").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"),
-        F.col("place").alias("px"), (F.col("comp") == F.col("main")).alias("x_main"),
+        F.col("place").alias("px"), F.col("before").alias("bx"), (F.col("comp") == F.col("main")).alias("x_main"),
     )
     b = probe.join(main, ["token", "step"]).select(
         "token", "step", F.col("class").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"),
-        F.col("place").alias("py"), (F.col("comp") == F.col("main")).alias("y_main"),
+        F.col("place").alias("py"), F.col("before").alias("by"), (F.col("comp") == F.col("main")).alias("y_main"),
     )
     smaller = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))
     reach = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py")) + 1
     fits = (F.col("cx") != F.col("cy")) & smaller & sizes_fit(F.col("nx"), F.col("ny"))
     fits = fits & (reach >= overlap(F.col("nx"), F.col("ny")))
+    fits = fits & ~F.coalesce(F.arrays_overlap("bx", "by"), F.lit(False))
     on = ["token", "step"]
     first = a.join(b.filter("NOT y_main"), on).filter(fits)
     second = a.filter("NOT x_main").join(b.filter("y_main"), on).filter(fits)
