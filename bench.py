@@ -32,6 +32,12 @@ HEADLINE = (
     "running_and_rolling_sums",
     "count_distinct_two",
     "data_test_report",
+    # With what they store.
+    "csv_ingest_report",
+    "bucketed_join",
+    "scd2_one_round",
+    "snap_seller_tier",
+    "project_row_counts",
 )
 
 

@@ -25,6 +25,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--select", nargs="+", metavar="MODEL|tag:TAG", help="models to run or test")
     p.add_argument("--vars", type=json.loads, default={}, help="run variables as a JSON object")
     p.add_argument("--buckets", type=int, default=0, help="lay staging tables out by order in N buckets")
+    p.add_argument("--initial-partitions", type=int, help="shuffle partitions to start with, about shuffled bytes / 128 MB")
+    p.add_argument("--single-line", nargs="+", default=(), metavar="TABLE", help="tables without line breaks in quotes, whose files are split over tasks")
     p.add_argument("--directory", help="folder of CSV files to ingest")
     p.add_argument("--once", action="store_true", help="ingest only if the database is not there yet")
     return p
@@ -37,14 +39,15 @@ def main(arguments: Sequence[str] | None = None) -> None:
     raw = args.source_database or database
     if args.command == "ingest":
         load = ingest_once if args.once else ingest_directory
-        report = load(spark, args.directory, raw, prefix=args.source_prefix)
+        report = load(spark, args.directory, raw, prefix=args.source_prefix, single_line=args.single_line)
         if report is None:
             print(f"{raw} is already loaded")
         else:
             report.show(1000, truncate=False)
         return
     project = Project(
-        spark, database, raw, args.source_prefix, variables=args.vars, buckets=args.buckets
+        spark, database, raw, args.source_prefix, variables=args.vars, buckets=args.buckets,
+        initial_partitions=args.initial_partitions,
     )
     if args.command == "run":
         print("\n".join(project.run(args.select)))

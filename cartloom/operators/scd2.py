@@ -15,9 +15,9 @@ def scd2_changes(open_versions: DataFrame, current: DataFrame, key: str, updated
     A key that is new, or newer than its open version, gets a new open version; the version it
     replaces is closed at the new one's time. Equal or older rows change nothing, and keys
     missing from ``current`` stay open. Both sides hold one row per key, so this is one
-    one-to-one join; both result rows come out of it in the same pass.
+    one-to-one join; both result rows come out of it in the same pass. A key that ``current`` holds twice raises.
     """
-    columns = current.columns
+    columns, current = current.columns, one_per_key(current, key)
     old = open_versions.select(F.col(key), F.struct(*columns, *HISTORY_COLUMNS).alias("old"))
     seen = current.select(
         F.col(key),
@@ -39,6 +39,17 @@ def scd2_changes(open_versions: DataFrame, current: DataFrame, key: str, updated
     return versions.select("v.*")
 
 
+def one_per_key(current: DataFrame, key: str) -> DataFrame:
+    """``current``, which raises when it is read if it holds a key twice.
+
+    The grouping combines before its shuffle, which the join on the key then uses.
+    """
+    rows = current.groupBy(key).agg(F.count("*").alias("_n"), F.first(F.struct("*")).alias("_row"))
+    message = F.concat(F.lit(f"{key} is not unique: "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
+    single = F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col("_row"))
+    return rows.select(single.alias("_row")).select("_row.*")
+
+
 def scd2_apply(history: DataFrame, current: DataFrame, key: str, updated_at: str) -> DataFrame:
     """The whole history after ``current`` was seen. Closed versions pass through unshuffled."""
     is_open = F.col("valid_to").isNull()
@@ -47,8 +58,8 @@ def scd2_apply(history: DataFrame, current: DataFrame, key: str, updated_at: str
 
 
 def scd2_start(current: DataFrame, key: str, updated_at: str) -> DataFrame:
-    """The history after the first sight of ``current``: everything is open."""
-    return current.select(
+    """The history after the first sight of ``current``: everything is open. A key twice raises."""
+    return one_per_key(current, key).select(
         "*",
         version_key(key, updated_at).alias("version_id"),
         F.col(updated_at).alias("valid_from"),

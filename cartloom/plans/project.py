@@ -41,6 +41,7 @@ class Model:
     columns: Mapping[str, str] = field(default_factory=dict)
     checks: Sequence[Check] = ()
     bucket_by: str | None = None
+    cluster_by: Sequence[str] = ()
 
 
 # In dependency order.
@@ -113,6 +114,8 @@ MODELS: dict[str, Model] = {
         customers.customer_daily_features,
         refs=["int_customer_landing", "stg_orders", "stg_order_payments"],
         materialized="table",
+        # Snapshots ask for the items up to a day; the order splits a day that has many.
+        cluster_by=["order_date", "order_id"],
     ),
     "int_seller_performance": Model(
         sellers.seller_performance, refs=["stg_order_items_snapshot"], materialized="table"
@@ -143,11 +146,12 @@ class Project:
         models: Mapping[str, Model] = MODELS,
         buckets: int = 0,
         location: str | None = None,
+        initial_partitions: int | None = None,
     ):
         self.spark, self.database, self.models, self.buckets = spark, database, models, buckets
         self.source_database, self.source_prefix = source_database or database, source_prefix
         self.sources, self.variables = dict(sources or {}), dict(variables or {})
-        create_namespace(configure(spark), database, location)
+        create_namespace(configure(spark, initial_partitions), database, location)
 
     def source(self, name: str) -> DataFrame:
         """A raw table."""
@@ -179,6 +183,7 @@ class Project:
 
     def dataframe(self, name: str, variables: Mapping[str, object] | None = None) -> DataFrame:
         """A model over its built inputs, not yet executed."""
+        self._check_variables(variables)
         model = self.models[name]
         inputs = [self.source(s) for s in model.sources] + [self.ref(r) for r in model.refs]
         given = {**self.variables, **(variables or {})}
@@ -198,7 +203,7 @@ class Project:
             if model.materialized == "view":
                 df.createOrReplaceTempView(name)
             else:
-                save_table(df, self._table(name), model.bucket_by, self.buckets)
+                save_table(df, self._table(name), model.bucket_by, self.buckets, model.cluster_by)
         return names
 
     def seed(self) -> None:
@@ -257,8 +262,9 @@ class Project:
 
     def summary(self) -> DataFrame:
         """Stored tables per layer, without the raw ones."""
-        patterns = ["product_%"] + ([self.source_prefix + "%"] if self.source_prefix else [])
-        return catalog_summary(self.spark, self.database, patterns)
+        sources = {s for m in self.models.values() for s in m.sources}
+        raw = [self.source_prefix + s for s in sources]
+        return catalog_summary(self.spark, self.database, raw_names=raw)
 
     def reset(self, rounds: Sequence[tuple[dt.date, dt.datetime | None]] | None = None) -> DataFrame:
         """Drop what was built, build it again with its history, and summarise."""
@@ -268,6 +274,12 @@ class Project:
         self.replay(rounds)
         return self.summary()
 
+    def _check_variables(self, variables: Mapping[str, object] | None) -> None:
+        known = {p for m in self.models.values() for p in inspect.signature(m.build).parameters}
+        unknown = {**self.variables, **(variables or {})}.keys() - known
+        if unknown:
+            raise ValueError(f"no model takes {', '.join(sorted(unknown))}")
+
     def _history(self) -> HistoryTable:
         return HistoryTable(self.spark, self.database, SNAPSHOT, sellers.SELLER_KEY, sellers.SELLER_TIME)
 

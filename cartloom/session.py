@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -29,7 +28,7 @@ def configure(spark: SparkSession, initial_partitions: int | None = None) -> Spa
 
     Adaptive execution merges small shuffle partitions but never makes more than it starts
     with. They start at ``initial_partitions`` (for large inputs, shuffled bytes / 128 MB), else
-    at what the session already names, else at three per core.
+    at what the session already names, else at three per core or ``spark.sql.shuffle.partitions``, whichever is more.
     """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
@@ -38,22 +37,24 @@ def configure(spark: SparkSession, initial_partitions: int | None = None) -> Spa
     elif spark.conf.get(INITIAL_PARTITIONS, None) is None:
         shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
         cores = spark.sparkContext.defaultParallelism
-        if cores > shuffle:
+        if 3 * cores > shuffle:
             spark.conf.set(INITIAL_PARTITIONS, str(3 * cores))
     return spark
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``.
+def shared_dir(spark: SparkSession, name: str | None = None) -> str:
+    """An empty folder below the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting: it gets a temporary folder.
+    Without that setting, below the warehouse, which is a shared path on a cluster. ``name`` makes it one folder of
+    the application for that name, emptied now; without, each call gives another. All go when the session's JVM ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every node shares")
-        root = tempfile.mkdtemp(prefix="cartloom-")
-    return f"{root.rstrip('/')}/cartloom-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{root.rstrip('/')}/cartloom-{spark.sparkContext.applicationId}/{name or uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(path, True)
+    files.deleteOnExit(path)
+    return folder
 
 
 def setting(spark: SparkSession, name: str, default: str | None = None) -> str | None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
@@ -17,16 +17,20 @@ MISSING = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+# Property of a database whose ingest is complete.
+LOADED = "cartloom.loaded"
+
 
 def read_csv(
-    spark: SparkSession, path: str | list[str], schema: StructType | None = None, multiline: bool = False
+    spark: SparkSession, path: str | list[str], schema: StructType | None = None, multiline: bool = True
 ) -> DataFrame:
     """CSV with a header row; a byte order mark and CRLF line ends are fine.
 
     Types are declared, never inferred; without a schema every column is text. Missing-value
     texts become NULL, whole numbers may be written ``12.0``, other bad values raise. The header
-    must name the schema's columns in order. ``multiline`` allows line breaks inside quotes, at
-    the price of one task per file.
+    must name the schema's columns in order, and without a schema the headers of all files must agree.
+    Line breaks inside quotes are read right at the price of one task per file. ``multiline=False`` splits
+    files over tasks; then a quote that its line does not close raises.
     """
     reader = (
         spark.read.option("header", True)
@@ -34,31 +38,41 @@ def read_csv(
         .option("escape", '"')
         .option("multiLine", multiline)
         .option("mode", "FAILFAST")
+        .option("unescapedQuoteHandling", "RAISE_ERROR")
     )
     if schema is not None:
         text = StructType([StructField(f.name, StringType()) for f in schema.fields])
-        reader = reader.schema(text).option("enforceSchema", False)
-    raw = reader.csv(path)
-    fields = raw.schema.fields if schema is None else schema.fields
+    if schema is None:
+        text = reader.csv(path).schema
+    raw = reader.schema(text).option("enforceSchema", False).csv(path)
+    fields = text.fields if schema is None else schema.fields
     return raw.select(*[_parse(f).alias(f.name) for f in fields])
 
 
 def csv_tables(spark: SparkSession, directory: str) -> DataFrame:
-    """(table, path) of every ``<table>.csv`` in a directory, a file or a folder of part files.
+    """(table, path) of every ``<table>.csv`` in a directory: a file, or a folder whose files are its parts.
 
-    The listing is Spark's own and reads no content; one row per table reaches the caller.
+    Only the directory itself is listed, and of such a folder whether it has files; deeper folders are no tables.
+    Two sources that name one table raise.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .load(directory)
-        .select("path")
-    )
-    # Part files sit inside a folder that is itself called <table>.csv.
-    folder = F.regexp_extract("path", r"^(.*?/([^/]+)\.csv)(/.*)?$", 1)
-    table = F.regexp_extract("path", r"^(.*?/([^/]+)\.csv)(/.*)?$", 2)
-    return files.select(table.alias("table"), folder.alias("path")).distinct().orderBy("table")
+    root = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: dict[str, tuple[str, str]] = {}
+    for status in sorted(files.listStatus(root), key=lambda s: s.getPath().getName()):
+        name = status.getPath().getName()
+        if not name.endswith(".csv") or name.startswith((".", "_")):
+            continue
+        if status.isDirectory() and not any(_is_part(s) for s in files.listStatus(status.getPath())):
+            continue
+        table = name.removesuffix(".csv")
+        if table.lower() in found:
+            raise ValueError(f"{found[table.lower()][1]} and {status.getPath()} are both table {table.lower()!r}")
+        found[table.lower()] = (table, status.getPath().toString())
+    return spark.createDataFrame(list(found.values()), "table string, path string")
+
+
+def _is_part(status) -> bool:
+    return status.isFile() and not status.getPath().getName().startswith((".", "_"))
 
 
 def ingest_directory(
@@ -67,13 +81,14 @@ def ingest_directory(
     database: str,
     schemas: Mapping[str, StructType] = RAW_SCHEMAS,
     prefix: str = "",
-    multiline: tuple[str, ...] = (),
+    single_line: Sequence[str] = (),
     location: str | None = None,
 ) -> DataFrame:
     """Load every CSV of a directory into the table of its name and report (table, row_count).
 
-    ``schemas`` are looked up by table name without ``prefix``; undeclared tables load as text.
-    Tables are replaced.
+    ``schemas`` are looked up by table name without ``prefix``; undeclared tables load as text. Files of the tables
+    in ``single_line`` are split over tasks, which forbids line breaks inside quotes. Tables are replaced; the database is
+    marked as loaded once all are there.
     """
     found = csv_tables(spark, directory).collect()
     if not found:
@@ -82,16 +97,19 @@ def ingest_directory(
     names = []
     for row in found:
         bare = row["table"].removeprefix(prefix)
-        df = read_csv(spark, row["path"], schemas.get(bare), multiline=bare in multiline)
+        df = read_csv(spark, row["path"], schemas.get(bare), multiline=bare not in single_line)
         save_table(df, f"{quote(database)}.{quote(row['table'])}")
         names.append(row["table"])
+    spark.sql(f"ALTER DATABASE {quote(database)} SET DBPROPERTIES ('{LOADED}' = 'true')")
     return row_counts(spark, database, names)
 
 
 def ingest_once(spark: SparkSession, directory: str, database: str, **options) -> DataFrame | None:
-    """Ingest unless the database is already there; None means nothing was done."""
+    """Ingest unless the database is already loaded, and wholly so; None means nothing was done."""
     if namespace_exists(spark, database):
-        return None
+        described = spark.sql(f"DESCRIBE DATABASE EXTENDED {quote(database)}").where("info_name = 'Properties'").first()
+        if described is not None and f"({LOADED},true)" in described["info_value"]:
+            return None
     return ingest_directory(spark, directory, database, **options)
 
 

@@ -4,18 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartloom.operators.scd2 import scd2_changes, scd2_start
+from cartloom.operators.scd2 import HISTORY_COLUMNS, scd2_changes, scd2_start
 from cartloom.sources.tables import quote
 
+# Property of the stored versions: the last complete round.
+ROUND = "cartloom.round"
+
 
 class HistoryTable:
     """A history kept in a table partitioned by round and state, read through a view.
 
     A round writes one new partition: the versions it closed and the versions open after it.
     Older closed versions are never read or rewritten, so a round costs what the keys cost and
-    not what the history has grown to. The view names the last complete round and is replaced
-    in one catalog call at the end; a round that dies half-way leaves readers on the old one
-    and is written again from the start.
+    not what the history has grown to. A property of the stored table names the last complete round, the view shows it;
+    a round that dies half-way leaves readers on the old one and is written again from the start. A lost
+    view is made anew.
     """
 
     def __init__(self, spark: SparkSession, database: str, name: str, key: str, updated_at: str):
@@ -24,44 +27,66 @@ class HistoryTable:
         self.store = f"{quote(database)}.{quote(name + '_versions')}"
 
     def round(self) -> int:
-        """Number of the last complete round, 0 before the first."""
-        if not self.spark.catalog.tableExists(self.view):
+        """Number of the last complete round, 0 before the first. It is kept with the stored versions."""
+        if not self.spark.catalog.tableExists(self.store):
             return 0
-        return int(self.spark.sql(f"SHOW TBLPROPERTIES {self.view}('round')").first()["value"])
+        found = self.spark.sql(f"SHOW TBLPROPERTIES {self.store}").where(F.col("key") == ROUND).first()
+        return int(found["value"]) if found else 0
 
     def read(self) -> DataFrame:
+        if not self.spark.catalog.tableExists(self.view) and self.round():
+            self._show(self.round())
         return self.spark.table(self.view)
 
     def apply(self, current: DataFrame) -> DataFrame:
-        """Take in the present state of all keys and return the new history."""
+        """Take in the present state of all keys and return the new history.
+
+        Columns go by name. A new column is NULL in versions that are closed or unchanged; a missing one raises.
+        """
         done = self.round()
         if done:
+            self._add_columns(current)
             last = f"round = {done} AND state = 'open'"
             stored = self.spark.table(self.store).where(last).drop("round", "state")
             versions = scd2_changes(stored, current, self.key, self.updated_at)
         else:
+            # Without a complete round the store is what a first try has left.
             self.spark.sql(f"DROP TABLE IF EXISTS {self.store}")
             versions = scd2_start(current, self.key, self.updated_at)
-        columns = versions.columns
         state = F.when(F.col("valid_to").isNull(), "open").otherwise("closed")
         rows = versions.select("*", F.lit(done + 1).alias("round"), state.alias("state"))
         if done:
             # What an unfinished earlier try of this round may have written.
             self._drop(done + 1, "open")
             self._drop(done + 1, "closed")
-            rows.write.insertInto(self.store)
+            rows.select(*map(quote, self.spark.table(self.store).columns)).write.insertInto(self.store)
         else:
             rows.write.partitionBy("round", "state").saveAsTable(self.store)
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.view} TBLPROPERTIES ('round' = '{done + 1}') AS "
-            f"SELECT {', '.join(map(quote, columns))} FROM {self.store} "
-            f"WHERE round <= {done + 1} AND (state = 'closed' OR round = {done + 1})"
-        )
+        self.spark.sql(f"ALTER TABLE {self.store} SET TBLPROPERTIES ('{ROUND}' = '{done + 1}')")
+        self._show(done + 1)
         # The round before may still have readers; the one before that is past use.
         if done > 1:
             self._drop(done - 1, "open")
         return self.read()
 
+    def _add_columns(self, current: DataFrame) -> None:
+        known = [c for c in self.spark.table(self.store).columns if c not in (*HISTORY_COLUMNS, "round", "state")]
+        missing = [c for c in known if c not in current.columns]
+        if missing:
+            raise ValueError(f"the present state lacks {', '.join(missing)}")
+        added = [f for f in current.schema.fields if f.name not in known]
+        if added:
+            listed = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in added)
+            self.spark.sql(f"ALTER TABLE {self.store} ADD COLUMNS ({listed})")
+
+    def _show(self, number: int) -> None:
+        """Let the view show the history after a round: one catalog call."""
+        columns = [c for c in self.spark.table(self.store).columns if c not in ("round", "state")]
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self.view} AS SELECT {', '.join(map(quote, columns))} FROM {self.store} "
+            f"WHERE round <= {number} AND (state = 'closed' OR round = {number})"
+        )
+
     def _drop(self, number: int, state: str) -> None:
         partition = f"round = {number}, state = '{state}'"
         self.spark.sql(f"ALTER TABLE {self.store} DROP IF EXISTS PARTITION ({partition})")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from cartloom.sources.csv import read_csv
@@ -40,5 +40,5 @@ def read_seed(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
 
 def seed_cities(spark: SparkSession) -> DataFrame:
     """The city seed (15 rows), parsed from the text above by Spark's CSV reader."""
-    lines = spark.sparkContext.parallelize(CITIES_CSV.splitlines()[1:], 1)
-    return spark.read.schema(CITIES_SCHEMA).option("mode", "FAILFAST").csv(lines)
+    lines = spark.createDataFrame([(line,) for line in CITIES_CSV.splitlines()[1:]], "line string")
+    return lines.select(F.from_csv("line", CITIES_SCHEMA.simpleString()[7:-1].replace(":", " "), {"mode": "FAILFAST"}).alias("c")).select("c.*")

@@ -181,3 +181,15 @@ def test_hot_key_is_counted_before_the_join(spark):
         places.append(text.index(operator, places[-1] + 1))
     assert text[: places[-1]].count("Exchange") == 1
     assert [tuple(r) for r in df.collect()] == [(0, 10_000)]
+
+
+def test_parents_are_reduced_to_keys_in_the_shuffle_of_the_join(spark):
+    """A hot parent key: partial counts on the parent side, and no shuffle beyond those of the join."""
+    items, orders = hot_items(spark)
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        df = orphan_keys(orders, "order_id", items, "order_id")
+        text = tree(df)
+        assert text.count("Exchange") == 2
+        parent = text[text.rindex("Exchange") :]
+        assert "HashAggregate" in parent
+        assert df.count() == orders.select("order_id").subtract(items.select("order_id")).count()

@@ -158,3 +158,20 @@ def test_commands(spark, tmp_path, capsys):
     assert "snap_seller_tier" in capsys.readouterr().out
     for name in (DATABASE, DATABASE + "_given"):
         spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def test_unknown_variables_raise(spark, project):
+    with pytest.raises(ValueError, match="snapshot_dat"):
+        project.run(["stg_orders"], {"snapshot_dat": "2017-01-01"})
+
+
+def test_summary_leaves_out_raw_tables_by_name(spark):
+    shop_tables = shop.raw_tables(spark)
+    project = Project(spark, DATABASE)
+    from cartloom.sources import save_table
+
+    for name, rows in shop_tables.items():
+        save_table(rows, f"{DATABASE}.{name}")
+    project.run(["stg_orders"])
+    assert {r["layer"]: r["table_count"] for r in project.summary().collect()} == {"Staging": 1}
+    spark.sql(f"DROP DATABASE {DATABASE} CASCADE")

@@ -120,3 +120,39 @@ def test_history_table_survives_an_unfinished_round(spark, table):
 def test_history_table_survives_an_unfinished_first_round(spark, table):
     save_table(state(spark, ("z", "gold", 9)), table.store)
     assert plain(table.apply(state(spark, ("a", "bronze", 1)))) == [("a", "bronze", 1, None)]
+
+
+def test_lost_view_is_made_anew(spark, table):
+    table.apply(state(spark, ("a", "bronze", 1)))
+    table.apply(state(spark, ("a", "gold", 2)))
+    before = plain(table.read())
+    spark.sql(f"DROP VIEW {table.view}")
+    assert table.round() == 2
+    assert plain(table.read()) == before
+    spark.sql(f"DROP VIEW {table.view}")
+    assert plain(table.apply(state(spark, ("a", "gold", 2)))) == before
+
+
+def test_columns_go_by_name(spark, table):
+    first = state(spark, ("a", "bronze", 1), ("b", "gold", 1))
+    table.apply(first)
+    later = state(spark, ("a", "silver", 2))
+    turned = later.select(F.lit(7).alias("extra"), *reversed(later.columns))
+    history = {tuple(r) for r in table.apply(turned).select("id", "tier", "extra").collect()}
+    assert history == {("a", "bronze", None), ("a", "silver", 7), ("b", "gold", None)}
+    with pytest.raises(ValueError, match="extra"):
+        table.apply(later)
+    # The new column stays for later rounds.
+    assert table.apply(state(spark, ("a", "gold", 3)).withColumn("extra", F.lit(8))).where("extra = 8").count() == 1
+
+
+def test_a_key_twice_raises(spark, table):
+    twice = state(spark, ("a", "bronze", 1), ("a", "gold", 2))
+    with pytest.raises(Exception, match="not unique"):
+        scd2_start(twice, "id", "at").collect()
+    with pytest.raises(Exception, match="not unique"):
+        table.apply(twice)
+    table.apply(state(spark, ("a", "bronze", 1)))
+    with pytest.raises(Exception, match="not unique"):
+        table.apply(twice)
+    assert plain(table.read()) == [("a", "bronze", 1, None)]

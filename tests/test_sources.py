@@ -150,3 +150,89 @@ def test_shared_dir_is_below_the_named_folder(spark):
     first, second = shared_dir(spark), shared_dir(spark)
     assert first != second
     assert first.startswith(spark.conf.get("spark.checkpoint.dir") + "/")
+
+
+TWO_LINES = '1,"first line\nsecond line"\n2,x\n'
+
+
+def test_line_breaks_in_quotes_by_default_and_split_files(spark, tmp_path, database):
+    write(tmp_path / "notes.csv", "id,text\n" + TWO_LINES)
+    ingest_directory(spark, str(tmp_path), database)
+    assert {r["text"] for r in spark.table(f"{database}.notes").collect()} == {"first line\nsecond line", "x"}
+    # Split over tasks, a quote that its line does not close raises.
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        ingest_directory(spark, str(tmp_path), database, single_line=["notes"])
+    assert spark.table(f"{database}.notes").count() == 2
+
+
+def test_only_direct_children_are_tables(spark, tmp_path, database):
+    folder = tmp_path / "dump.csv"
+    folder.mkdir()
+    write(folder / "things.csv", "id\n1\n2\n")
+    (folder / "old").mkdir()
+    write(folder / "old" / "things.csv", "id\n3\n")
+    (folder / "empty.csv").mkdir()
+    report = ingest_directory(spark, str(folder), database)
+    assert [tuple(r) for r in report.collect()] == [("things", 2)]
+    # The folder is itself called like a table, and holds parts where it is read as one.
+    assert [tuple(r)[0] for r in csv_tables(spark, str(tmp_path)).collect()] == ["dump"]
+
+
+def test_compressed_parts_and_names_that_clash(spark, tmp_path, database):
+    spark.range(4).repartition(2).write.option("header", True).option("compression", "gzip").csv(str(tmp_path / "items.csv"))
+    assert [tuple(r) for r in ingest_directory(spark, str(tmp_path), database).collect()] == [("items", 4)]
+    write(tmp_path / "Items.csv", "id\n1\n")
+    with pytest.raises(ValueError, match="both table"):
+        ingest_directory(spark, str(tmp_path), database)
+    assert spark.table(f"{database}.items").count() == 4
+
+
+def test_parts_with_headers_in_another_order_raise(spark, tmp_path):
+    (tmp_path / "t.csv").mkdir()
+    write(tmp_path / "t.csv" / "a.csv", "a,b\n1,2\n")
+    write(tmp_path / "t.csv" / "b.csv", "b,a\n2,1\n")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        read_csv(spark, str(tmp_path / "t.csv")).collect()
+
+
+def test_a_load_that_died_is_not_complete(spark, tmp_path, database):
+    write(tmp_path / "t.csv", "a\n1\n")
+    create_namespace(spark, database)
+    assert ingest_once(spark, str(tmp_path), database) is not None
+    assert ingest_once(spark, str(tmp_path), database) is None
+
+
+def test_failed_overwrite_keeps_the_old_table(spark, database):
+    create_namespace(spark, database)
+    save_table(spark.range(5), f"{database}.t")
+    bad = spark.range(100).select(F.when(F.col("id") == 99, F.raise_error(F.lit("bad"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        save_table(bad, f"{database}.t")
+    assert spark.table(f"{database}.t").count() == 5
+    # A table may be replaced by what is read from it.
+    save_table(spark.table(f"{database}.t").where("id > 2"), f"{quote(database)}.{quote('t')}")
+    assert spark.table(f"{database}.t").count() == 2
+    assert {t.name for t in spark.catalog.listTables(database) if not t.isTemporary} == {"t"}
+
+
+def test_clustered_table_skips_other_days(spark, database):
+    create_namespace(spark, database)
+    rows = spark.range(20_000).select(F.expr("date_add(date'2020-01-01', CAST(id * 7 % 90 AS int))").alias("day"), "id")
+    with_settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for key, value in with_settings.items():
+        spark.conf.set(key, value)
+    save_table(rows, f"{database}.t", cluster_by=["day", "id"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = spark.table(f"{database}.t").groupBy(F.input_file_name().alias("f")).agg(F.min("day").alias("a"), F.max("day").alias("b"))
+    ranges = sorted((r["a"], r["b"]) for r in files.collect())
+    assert len(ranges) >= 4
+    assert all(b <= c for (_, b), (c, _) in zip(ranges, ranges[1:]))
+    found = spark.table(f"{database}.t").where("day = date'2020-02-01'")
+    assert "PushedFilters: [IsNotNull(day), EqualTo(day" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_named_shared_dir_is_emptied(spark):
+    first = shared_dir(spark, "named")
+    spark.range(1).write.parquet(first)
+    assert shared_dir(spark, "named") == first
+    spark.range(1).write.parquet(first)
