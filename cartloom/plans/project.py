@@ -105,7 +105,11 @@ MODELS: dict[str, Model] = {
         bucket_by="order_id",
     ),
     "stg_order_items_snapshot": Model(
-        staging.stg_order_items_snapshot, sources=["order_items", "orders"], materialized="table"
+        staging.stg_order_items_snapshot,
+        sources=["order_items", "orders"],
+        materialized="table",
+        # Snapshots ask for the items up to a day; the order splits a day that has many.
+        cluster_by=["order_date", "order_id"],
     ),
     "int_customer_landing": Model(
         customers.customer_landing, refs=["stg_orders", "stg_customers"], materialized="table"
@@ -114,8 +118,6 @@ MODELS: dict[str, Model] = {
         customers.customer_daily_features,
         refs=["int_customer_landing", "stg_orders", "stg_order_payments"],
         materialized="table",
-        # Snapshots ask for the items up to a day; the order splits a day that has many.
-        cluster_by=["order_date", "order_id"],
     ),
     "int_seller_performance": Model(
         sellers.seller_performance, refs=["stg_order_items_snapshot"], materialized="table"

@@ -11,7 +11,6 @@ from tests.compare import oracle_connection, spark_rows, sql_rows
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
-
 @pytest.fixture(scope="module")
 def oracle():
     connection = oracle_connection(SF_DIR)
