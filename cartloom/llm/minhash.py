@@ -3,7 +3,8 @@
 A document is its set of distinct runs of ``SHINGLE_WORDS`` words. Two collections of ``COLLECTION`` keys, each of ``ROWS``
 minimum hashes, are combined in pairs: every key of the first with every key of the second makes a table, so
 ``COLLECTION`` squared tables of 2 ``ROWS`` rows cost only 2 ``COLLECTION`` ``ROWS`` hashes. Documents that agree in some table
-are candidates; a pair at the least similarity of 0.85 is missed once in 14,000.
+are candidates. The least similarity is a parameter, ``percent``; ``collection_for`` takes as many keys as it needs for a pair
+at that similarity to be missed less than once in 13,000 (8 keys at 0.85: once in 14,200; 10 keys at 0.80: once in 13,700).
 
 1. Documents of equal sets become one class before anything else, so exact copies, however many, are one row.
 2. In each bucket the class that shares most buckets with others is confirmed against the rest, and what is linked is merged.
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +37,10 @@ from cartloom.llm.shared import columns, stored
 
 SHINGLE_WORDS = 5
 ROWS, COLLECTION = 2, 8
-# Linked at 100 * intersection >= PERCENT * union.
+# Linked at 100 * intersection >= percent * union; this one is op1's.
 PERCENT = 85
+# Pairs at the least similarity that the tables miss, at most.
+MISSED = 1 / 13_000
 # Buckets of up to so many classes are compared pair by pair.
 SMALL_BUCKET = 16
 # Classes that one task compares with the same class.
@@ -60,15 +64,23 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(scrambled(mixed))
 
 
-_random = np.random.default_rng(20240607)
-FACTORS = _random.integers(0, 1 << 63, 2 * ROWS * COLLECTION, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-OFFSETS = _random.integers(0, 1 << 63, 2 * ROWS * COLLECTION, dtype=np.uint64)
+def collection_for(percent: int) -> int:
+    """The keys of a collection for links from ``percent`` on."""
+    return math.ceil(math.log(MISSED / 2) / math.log(1 - (percent / 100) ** ROWS))
 
 
-def collection_keys(s: np.ndarray) -> np.ndarray:
+@lru_cache(maxsize=None)
+def hash_functions(collection: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and offsets of the hash functions of both collections."""
+    random = np.random.default_rng(20240607)
+    factors = random.integers(0, 1 << 63, 2 * ROWS * collection, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return factors, random.integers(0, 1 << 63, 2 * ROWS * collection, dtype=np.uint64)
+
+
+def collection_keys(s: np.ndarray, collection: int = COLLECTION) -> np.ndarray:
     """The keys of both collections for a non-empty set, one after the other."""
-    minima = np.array([(s * a + b).min() for a, b in zip(FACTORS, OFFSETS)], dtype=np.uint64)
-    keys = np.arange(2 * COLLECTION, dtype=np.uint64)
+    minima = np.array([(s * a + b).min() for a, b in zip(*hash_functions(collection))], dtype=np.uint64)
+    keys = np.arange(2 * collection, dtype=np.uint64)
     for row in range(ROWS):
         keys = scrambled(keys * MIX + minima[row::ROWS])
     return keys.view(np.int64)
@@ -79,7 +91,7 @@ def class_of(s: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes(), seed=len(s))).view(np.int64))
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, collection: int = COLLECTION) -> DataFrame:
     """doc_id, n_shingles, class and the keys of each of ``docs``; no class for an empty set."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,7 +102,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                     batch.column("doc_id"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()),
-                    pa.array([collection_keys(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                    pa.array([collection_keys(s, collection) if len(s) else None for s in sets], pa.list_(pa.int64())),
                 ],
                 names=["doc_id", "n_shingles", "class", "keys"],
             )
@@ -100,20 +112,20 @@ def sketches(docs: DataFrame) -> DataFrame:
     )
 
 
-def sizes_fit(a: Column, b: Column) -> Column:
+def sizes_fit(a: Column, b: Column, percent: int = PERCENT) -> Column:
     """Whether sets of these sizes can be linked at all."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
+def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     shared = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * shared >= PERCENT * (len(a) + len(b) - shared)
+    return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
-def buckets(classes: DataFrame) -> DataFrame:
+def buckets(classes: DataFrame, collection: int = COLLECTION) -> DataFrame:
     """key, class, n: the tables' buckets of two classes and more."""
-    first = F.slice("keys", 1, COLLECTION)
-    second = F.slice("keys", COLLECTION + 1, COLLECTION)
+    first = F.slice("keys", 1, collection)
+    second = F.slice("keys", collection + 1, collection)
     rows = classes.select("class", "n", F.explode(first).alias("a"), second.alias("second")).select(
         "class", "n", "a", F.explode("second").alias("b")
     )
@@ -123,7 +135,7 @@ def buckets(classes: DataFrame) -> DataFrame:
     return keyed.join(shared, "key")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Those of ``pairs`` (left, right; distinct) whose sets are linked. ``texts``: class, text.
 
     The right texts are brought to the left one, in groups of bounded size.
@@ -148,7 +160,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     continue
                 if side == 0:
                     own, own_set = at, s
-                elif own == at and linked(own_set, s):
+                elif own == at and linked(own_set, s, percent):
                     found.append((at, other))
             kinds = [pa.array(c, pa.int64()) for c in (zip(*found) if found else ([], []))]
             yield pa.RecordBatch.from_arrays(kinds, names=["left", "right"])
@@ -182,16 +194,16 @@ def with_component(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(found, "class", "left").withColumn("comp", F.coalesce("root", "class")).drop("root")
 
 
-def overlap(a: Column, b: Column) -> Column:
+def overlap(a: Column, b: Column, percent: int = PERCENT) -> Column:
     """The least intersection of linked sets of these sizes."""
-    return F.ceil((a + b) * PERCENT / (100.0 + PERCENT) - 1e-9)
+    return F.ceil((a + b) * percent / (100.0 + percent) - 1e-9)
 
 
 def size_step(n: Column) -> Column:
     return F.floor(F.log(n.cast("double")) / math.log(SIZE_STEP) + 1e-9).cast("int")
 
 
-def rare_shingle_pairs(crowd: DataFrame, texts: DataFrame) -> DataFrame:
+def rare_shingle_pairs(crowd: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """left, right: the pairs among ``crowd`` (class, n, comp) that can be linked and lie in different components.
 
     By a common order of the shingles from the rarest on, two sets with an overlap of o share one of the first n - o + 1 of
@@ -214,16 +226,16 @@ def rare_shingle_pairs(crowd: DataFrame, texts: DataFrame) -> DataFrame:
     placed = tokens.join(common, "token").withColumn("place", F.row_number().over(order))
     n = F.col("n")
     # Alone, a shingle finds nobody, but takes its place.
-    rows = placed.join(crowd, "class").filter((F.col("place") <= n - F.ceil(n * PERCENT / 100.0 - 1e-9) + 1) & (F.col("df") > 1))
+    rows = placed.join(crowd, "class").filter((F.col("place") <= n - F.ceil(n * percent / 100.0 - 1e-9) + 1) & (F.col("df") > 1))
     # What a pair shares further on, it has met by before: the shingles up to there go along, up to a bound.
     earlier = Window.partitionBy("class").orderBy("place").rowsBetween(-CARRIED, -1)
     before = F.when(F.col("place") <= CARRIED, F.collect_list("token").over(earlier))
     rows = stored(rows.select("token", "place", "class", "n", "comp").withColumn("before", before), "prefixes")
-    index = rows.filter(F.col("place") <= n - overlap(n, n) + 1).withColumn("step", size_step(n))
-    least = F.ceil(n * PERCENT / 100.0 - 1e-9)
+    index = rows.filter(F.col("place") <= n - overlap(n, n, percent) + 1).withColumn("step", size_step(n))
+    least = F.ceil(n * percent / 100.0 - 1e-9)
     probe = rows.withColumn("step", F.explode(F.sequence(size_step(least), size_step(n))))
     smallest = F.greatest(least, F.floor(F.pow(F.lit(SIZE_STEP), F.col("step")) - 1e-6))
-    probe = probe.filter(F.col("place") <= n - overlap(n, smallest) + 1)
+    probe = probe.filter(F.col("place") <= n - overlap(n, smallest, percent) + 1)
     # Only pairs between components are formed: what is not of a shingle's main component meets all others, what is of it
     # meets those that are not.
     per_comp = index.groupBy("token", "step", "comp").agg(F.count("*").alias("c"))
@@ -240,8 +252,8 @@ def rare_shingle_pairs(crowd: DataFrame, texts: DataFrame) -> DataFrame:
     )
     smaller = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))
     reach = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py")) + 1
-    fits = (F.col("cx") != F.col("cy")) & smaller & sizes_fit(F.col("nx"), F.col("ny"))
-    fits = fits & (reach >= overlap(F.col("nx"), F.col("ny")))
+    fits = (F.col("cx") != F.col("cy")) & smaller & sizes_fit(F.col("nx"), F.col("ny"), percent)
+    fits = fits & (reach >= overlap(F.col("nx"), F.col("ny"), percent))
     fits = fits & ~F.coalesce(F.arrays_overlap("bx", "by"), F.lit(False))
     on = ["token", "step"]
     first = a.join(b.filter("NOT y_main"), on).filter(fits)
@@ -250,15 +262,16 @@ def rare_shingle_pairs(crowd: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.select(F.col("x").alias("left"), F.col("y").alias("right")).distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, class of each of ``docs`` (doc_id, text)."""
-    rows = stored(sketches(docs), "sketches")
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, class of each of ``docs`` (doc_id, text), linked from ``percent`` on."""
+    collection = collection_for(percent)
+    rows = stored(sketches(docs, collection), "sketches")
     in_class = rows.filter("class IS NOT NULL")
     classes = in_class.groupBy("class").agg(
         F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys")
     )
     classes = stored(classes, "classes")
-    met = stored(buckets(classes), "buckets")
+    met = stored(buckets(classes, collection), "buckets")
     wanted = met.select("class").distinct().join(classes.select("class", "first_id"), "class")
     own = columns(docs, ("doc_id", "text"))
     texts = own.join(wanted, own["doc_id"].eqNullSafe(wanted["first_id"])).select("class", "text")
@@ -267,9 +280,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     popular = met.groupBy("class").agg(F.sum("held").alias("popularity"))
     chosen = F.max_by(F.struct(F.col("class").alias("left"), F.col("n").alias("left_n")), F.struct("popularity", "class"))
     pivots = met.join(popular, "class").groupBy("key").agg(chosen.alias("p")).select("key", "p.*")
-    star = met.join(pivots, "key").filter((F.col("class") != F.col("left")) & sizes_fit(F.col("n"), F.col("left_n")))
+    star = met.join(pivots, "key").filter((F.col("class") != F.col("left")) & sizes_fit(F.col("n"), F.col("left_n"), percent))
     star = stored(star.select("left", F.col("class").alias("right")).distinct(), "star")
-    edges = stored(confirmed(star, texts), "links")
+    edges = stored(confirmed(star, texts, percent), "links")
     roots = components(edges)
 
     rest = with_component(met, roots)
@@ -278,13 +291,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     small = rest.filter(F.col("held") <= SMALL_BUCKET)
     other = small.select("key", F.col("class").alias("right"), F.col("n").alias("right_n"), F.col("comp").alias("right_comp"))
     pairs = small.withColumnRenamed("class", "left").join(other, "key").filter(
-        (F.col("left") < F.col("right")) & (F.col("comp") != F.col("right_comp")) & sizes_fit(F.col("n"), F.col("right_n"))
+        (F.col("left") < F.col("right")) & (F.col("comp") != F.col("right_comp")) & sizes_fit(F.col("n"), F.col("right_n"), percent)
     )
     crowd = rest.filter(F.col("held") > SMALL_BUCKET).select("class", "n", "comp").distinct()
-    more = pairs.select("left", "right").union(rare_shingle_pairs(stored(crowd, "crowd"), texts))
+    more = pairs.select("left", "right").union(rare_shingle_pairs(stored(crowd, "crowd"), texts, percent))
     more = more.distinct().join(star, ["left", "right"], "left_anti")
     more = more.join(star.select(F.col("left").alias("right"), F.col("right").alias("left")), ["left", "right"], "left_anti")
-    edges = edges.union(confirmed(stored(more, "pairs"), texts))
+    edges = edges.union(confirmed(stored(more, "pairs"), texts, percent))
     roots = components(edges)
 
     owned = with_component(classes.select("class", "first_id"), roots)
@@ -301,9 +314,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each component: the one of the smallest ``doc_id``, once if its row is repeated."""
-    found = stored(near_duplicates(docs).filter("kept"), "kept")
+    found = stored(near_duplicates(docs, percent).filter("kept"), "kept")
     kept = found.groupBy("doc_id").agg(F.count("*").alias("_times")).withColumnRenamed("doc_id", "_kept_id")
     joined = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"])).drop("_kept_id")
     if found.count() == kept.count():

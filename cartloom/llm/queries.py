@@ -38,7 +38,7 @@ def fold(parts: int) -> Column:
 @query(minhash.NEAR_DUPLICATE_SQL)
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate documents."""
-    found = minhash.near_duplicates(documents(spark, sf_dir))
+    found = minhash.near_duplicates(documents(spark, sf_dir), 85)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 

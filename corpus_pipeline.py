@@ -14,6 +14,9 @@ from cartloom.llm import decontamination, language, minhash, packing, secret_sca
 from cartloom.llm.shared import columns, documents, prepared, stored
 from cartloom.llm.tokenizing import vocabulary
 
+# Least similarity of near duplicates, in per cent of the five-word shingles; op1's contract has another.
+NEAR_PERCENT = 80
+
 
 def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID, learned from the labels of ``docs``: without the documents that it rejects."""
@@ -24,9 +27,9 @@ def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup: one document of each component."""
+    """MinHash near-dedup: one document of each component of similarity ``NEAR_PERCENT`` and more."""
     prepared(spark)
-    return minhash.deduplicated(docs)
+    return minhash.deduplicated(docs, NEAR_PERCENT)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
