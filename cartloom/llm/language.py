@@ -5,7 +5,8 @@ turned into single spaces, hashed to ``FEATURES`` places, logarithmic counts tim
 Labelled texts of each language are clustered into ``CLUSTERS`` centroids (spherical k-means); a text has the
 language of the centroid with the greatest cosine. It is rejected as being of no learned language if that cosine is
 below ``REJECT_SHARE`` of what the ``REJECT_QUANTILE`` least similar learning texts of about its length reach with their
-nearest centroid, or if it has no letter.
+nearest centroid, or if it has no letter. Short texts, which are few and less similar, are held against pieces cut out of all
+learning texts as well.
 
 The model is learned on the driver from at most ``SAMPLE_ROWS`` labelled rows, picked by hash; every text,
 learned from or predicted, is taken as a whole.
@@ -31,10 +32,12 @@ FEATURES = 1 << FEATURE_BITS
 CLUSTERS = 4
 SAMPLE_ROWS = 4_000
 ROUNDS = 8
-REJECT_SHARE, REJECT_QUANTILE = 0.25, 0.001
+REJECT_SHARE, REJECT_QUANTILE = 0.6, 0.001
 UNKNOWN = "und"
 # Lengths in n-grams that part the texts for rejection.
 LENGTH_STEPS = np.array([4, 8, 16, 32, 64, 128, 256, 512])
+# The first so many steps learn from pieces, too.
+SHORT_STEPS = 6
 # Texts in one matrix.
 ROWS_AT_ONCE = 128
 
@@ -51,6 +54,20 @@ def gram_places(text: str | None) -> np.ndarray:
     return ((codes * np.uint32(2654435761)) >> np.uint32(32 - FEATURE_BITS)).astype(np.int64)
 
 
+def pieces(places: np.ndarray) -> list[np.ndarray]:
+    """A run of the n-grams of a longer text for each short length step; where it is cut depends on the text alone."""
+    random = np.random.default_rng([len(places), int(places.sum())])
+    shortest = 1
+    out = []
+    for longest in LENGTH_STEPS[:SHORT_STEPS]:
+        n = int(random.integers(shortest, longest + 1))
+        if n < len(places):
+            start = int(random.integers(0, len(places) - n + 1))
+            out.append(places[start : start + n])
+        shortest = longest + 1
+    return out
+
+
 def counts_of(places: list[np.ndarray]) -> np.ndarray:
     """Logarithmic counts, a row for each text."""
     rows = np.repeat(np.arange(len(places)) * FEATURES, [len(p) for p in places])
@@ -126,13 +143,11 @@ def fit(rows: list[tuple[str, str]]) -> LanguageModel:
         centroids.append(centers)
         owner += [i] * len(centers)
     model = LanguageModel(languages, idf, np.concatenate(centroids).T.copy(), np.array(owner), nothing)
+    held = [piece for p, _ in found for piece in (p, *pieces(p))]
     cosines = np.concatenate(
-        [
-            model.similarities([p for p, _ in found[s : s + ROWS_AT_ONCE]]).max(axis=1)
-            for s in range(0, len(found), ROWS_AT_ONCE)
-        ]
+        [model.similarities(held[s : s + ROWS_AT_ONCE]).max(axis=1) for s in range(0, len(held), ROWS_AT_ONCE)]
     )
-    steps = np.searchsorted(LENGTH_STEPS, [len(p) for p, _ in found])
+    steps = np.searchsorted(LENGTH_STEPS, [len(p) for p in held])
     lowest = np.array(
         [np.quantile(c, REJECT_QUANTILE) if len(c := cosines[steps == s]) else np.inf for s in range(len(nothing))]
     )
