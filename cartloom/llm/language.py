@@ -8,8 +8,9 @@ below ``REJECT_SHARE`` of what the ``REJECT_QUANTILE`` least similar learning te
 nearest centroid, or if it has no letter. Short texts, which are few and less similar, are held against pieces cut out of all
 learning texts as well.
 
-The model is learned on the driver from at most ``SAMPLE_ROWS`` labelled rows, picked by hash; every text,
-learned from or predicted, is taken as a whole.
+The model is learned from at most ``LANGUAGE_ROWS`` labelled rows of each language, picked by hash, so that no language is lost
+beside a larger one; every text, learned from or predicted, is taken as a whole. Texts become counts of n-grams in the
+tasks, languages are clustered in a task each, and only sums, centroids and quantiles reach the driver.
 
 Defined cases: null texts and texts without letters are ``und`` with score 0 and rejected; without any labelled row all
 are; equal cosines go to the first language in order; null ``lang`` is never learned from; repeated rows and extra columns do
@@ -24,13 +25,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
+from cartloom.llm.shared import stored
+
 FEATURE_BITS = 13
 FEATURES = 1 << FEATURE_BITS
 CLUSTERS = 4
-SAMPLE_ROWS = 4_000
+# Learning rows of a language.
+LANGUAGE_ROWS = 1_000
 ROUNDS = 8
 REJECT_SHARE, REJECT_QUANTILE = 0.6, 0.001
 UNKNOWN = "und"
@@ -122,53 +126,117 @@ def cluster(rows: np.ndarray, k: int) -> np.ndarray:
     return centers
 
 
-def fit(rows: list[tuple[str, str]]) -> LanguageModel:
-    """Learn from (text, language) pairs."""
-    found = [(p, lang) for text, lang in rows if len(p := gram_places(text))]
-    languages = sorted({lang for _, lang in found})
+def idf_of(seen: np.ndarray, n: int) -> np.ndarray:
+    """Inverse document frequencies from how many of ``n`` texts have each n-gram."""
+    return (np.log((1 + n) / (1 + seen)) + 0.1).astype(np.float32)
+
+
+def centers_of(own: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
+    """Centroids of the texts of one language."""
+    return cluster(
+        np.concatenate([unit(counts_of(own[s : s + ROWS_AT_ONCE]) * idf) for s in range(0, len(own), ROWS_AT_ONCE)]),
+        CLUSTERS,
+    )
+
+
+def model_of(centers: dict[str, np.ndarray], idf: np.ndarray) -> LanguageModel:
+    """A model that rejects nothing yet but texts without letters."""
     nothing = np.zeros(len(LENGTH_STEPS) + 1)
+    languages = sorted(centers)
     if not languages:
         return LanguageModel([], np.zeros(FEATURES, np.float32), np.zeros((FEATURES, 0)), np.zeros(0), nothing)
+    owner = np.repeat(np.arange(len(languages)), [len(centers[x]) for x in languages])
+    return LanguageModel(languages, idf, np.concatenate([centers[x] for x in languages]).T.copy(), owner, nothing)
+
+
+def steps_and_cosines(model: LanguageModel, places: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Length step and cosine with the nearest centroid, of each text and of its pieces."""
+    held = [piece for p in places for piece in (p, *pieces(p))]
+    cosines = [model.similarities(held[s : s + ROWS_AT_ONCE]).max(axis=1) for s in range(0, len(held), ROWS_AT_ONCE)]
+    return np.searchsorted(LENGTH_STEPS, [len(p) for p in held]), np.concatenate([np.zeros(0), *cosines])
+
+
+def bounds(quantiles: dict[int, float]) -> np.ndarray:
+    """The cosine below which a text is rejected, by length step."""
+    lowest = np.array([quantiles.get(s, np.inf) for s in range(len(LENGTH_STEPS) + 1)])
+    # A length that no learning text has takes the next longer one that some have; short texts are less similar.
+    lowest = np.minimum.accumulate(lowest[::-1])[::-1]
+    return np.where(np.isfinite(lowest), lowest, 0) * REJECT_SHARE
+
+
+def fit(rows: list[tuple[str, str]]) -> LanguageModel:
+    """Learn from (text, language) pairs."""
+    found = [(p, lang) for text, lang in rows if len(p := gram_places(text))]
     seen = np.zeros(FEATURES)
     for p, _ in found:
         seen[np.unique(p)] += 1
-    idf = (np.log((1 + len(found)) / (1 + seen)) + 0.1).astype(np.float32)
-    centroids, owner = [], []
-    for i, language in enumerate(languages):
-        own = [p for p, lang in found if lang == language]
-        vectors = np.concatenate(
-            [unit(counts_of(own[s : s + ROWS_AT_ONCE]) * idf) for s in range(0, len(own), ROWS_AT_ONCE)]
-        )
-        centers = cluster(vectors, CLUSTERS)
-        centroids.append(centers)
-        owner += [i] * len(centers)
-    model = LanguageModel(languages, idf, np.concatenate(centroids).T.copy(), np.array(owner), nothing)
-    held = [piece for p, _ in found for piece in (p, *pieces(p))]
-    cosines = np.concatenate(
-        [model.similarities(held[s : s + ROWS_AT_ONCE]).max(axis=1) for s in range(0, len(held), ROWS_AT_ONCE)]
-    )
-    steps = np.searchsorted(LENGTH_STEPS, [len(p) for p in held])
-    lowest = np.array(
-        [np.quantile(c, REJECT_QUANTILE) if len(c := cosines[steps == s]) else np.inf for s in range(len(nothing))]
-    )
-    # A length that no learning text has takes the next longer one that some have; short texts are less similar.
-    lowest = np.minimum.accumulate(lowest[::-1])[::-1]
-    model.least = np.where(np.isfinite(lowest), lowest, 0) * REJECT_SHARE
+    idf = idf_of(seen, len(found))
+    languages = {lang for _, lang in found}
+    model = model_of({x: centers_of([p for p, lang in found if lang == x], idf) for x in languages}, idf)
+    if languages:
+        steps, cosines = steps_and_cosines(model, [p for p, _ in found])
+        model.least = bounds({int(s): np.quantile(cosines[steps == s], REJECT_QUANTILE) for s in np.unique(steps)})
     return model
 
 
+def sampled(docs: DataFrame, learned: Column) -> DataFrame:
+    """lang, at, text: the ``LANGUAGE_ROWS`` rows of each language with the smallest hashes, whatever the partitions are."""
+    rows = docs.filter(learned & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    rows = rows.select("lang", F.xxhash64(F.col("doc_id"), F.lit(7)).alias("o"), "text")
+    # Only keys take part in the choice, each partition's smallest first; then the chosen rows' texts are read.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("o"))
+    chosen = rows.select("lang", "o").withColumn("place", place).filter(F.col("place") <= LANGUAGE_ROWS)
+    last = stored(chosen.groupBy("lang").agg(F.max("o").alias("last")), "sample-bounds")
+    near = rows.join(last, "lang").filter(F.col("o") <= F.col("last")).drop("last")
+    # Again, for rows that repeat a doc_id.
+    at = F.row_number().over(Window.partitionBy("lang").orderBy("o", F.xxhash64("text")))
+    return near.withColumn("at", at).filter(F.col("at") <= LANGUAGE_ROWS).select("lang", "at", "text")
+
+
 def learn(docs: DataFrame, learned: Column) -> LanguageModel:
-    """Fit on a bounded sample of the rows of ``docs`` (doc_id, text, lang) that ``learned`` picks.
+    """Fit on a bounded sample of each language among the rows of ``docs`` (doc_id, text, lang) that ``learned`` picks."""
 
-    The sample is the rows with the smallest hashes, so it is the same whatever the partitions are.
-    """
-    rows = docs.filter(learned & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = F.xxhash64(F.col("doc_id"), F.lit(7))
-    # Only keys take part in the choice, then the chosen rows' texts are read.
-    chosen = rows.select("doc_id", order.alias("o")).orderBy("o", "doc_id").limit(SAMPLE_ROWS).select("doc_id")
-    sample = rows.join(chosen.distinct(), "doc_id", "left_semi").select("doc_id", "text", "lang")
-    found = sample.orderBy(order, "doc_id").limit(SAMPLE_ROWS).collect()
-    return fit(sorted((r["text"], r["lang"]) for r in found))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [gram_places(t) for t in batch.column("text").to_pylist()]
+            grams = pa.array([p.astype(np.int16) for p in found], pa.list_(pa.int16()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("lang"), batch.column("at"), grams], names=["lang", "at", "places"]
+            )
+
+    counted = sampled(docs, learned).mapInArrow(count, "lang string, at int, places array<short>")
+    texts = stored(counted.filter(F.size("places") > 0), "language-sample")
+    n = texts.count()
+    each = texts.select(F.explode(F.array_distinct("places")).alias("place"))
+    seen = np.zeros(FEATURES)
+    for row in each.groupBy("place").count().collect():
+        seen[row["place"]] = row["count"]
+    idf = idf_of(seen, n)
+    send = docs.sparkSession.sparkContext.broadcast
+    sent_idf = send(idf)
+
+    def centers(group: pa.Table) -> pa.Table:
+        rows = sorted(zip(group.column("at").to_pylist(), group.column("places").to_numpy()), key=lambda r: r[0])
+        found = centers_of([np.asarray(p, dtype=np.int64) for _, p in rows], sent_idf.value).astype(np.float64)
+        names = pa.array([group.column("lang")[0].as_py()] * len(found), pa.string())
+        return pa.Table.from_arrays([names, pa.array(list(found), pa.list_(pa.float64()))], names=["lang", "center"])
+
+    clustered: dict[str, list] = {}
+    for row in texts.groupBy("lang").applyInArrow(centers, "lang string, center array<double>").collect():
+        clustered.setdefault(row["lang"], []).append(row["center"])
+    model = model_of({x: np.array(c, dtype=np.float32) for x, c in clustered.items()}, idf)
+    sent = send(model)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = [np.asarray(p, dtype=np.int64) for p in batch.column("places").to_numpy(zero_copy_only=False)]
+            steps, cosines = steps_and_cosines(sent.value, places)
+            yield pa.RecordBatch.from_arrays([pa.array(steps, pa.int32()), pa.array(cosines)], names=["step", "cosine"])
+
+    lowest = texts.select("places").mapInArrow(compare, "step int, cosine double").groupBy("step")
+    found = lowest.agg(F.percentile("cosine", F.lit(REJECT_QUANTILE)).alias("q")).collect() if n else []
+    model.least = bounds({row["step"]: row["q"] for row in found})
+    return model
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
