@@ -1,7 +1,7 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 The word trigrams of the test items are looked for in all documents and counted; the rarer ``RARE_SHARE`` of those that occur
-seed each item. Around every place where a document has a seed of an item, the passage that a copy of the item would fill, with room
+seed each item; the others that occur are seeds of last resort. Around every place where a document has a seed of an item, the passage that a copy of the item would fill, with room
 for insertions, is aligned with the item word by word: ``MATCH`` for equal words, ``MISMATCH`` for different ones, ``GAP`` for
 left-out or inserted ones. The best local alignment's share of a full match is the score; from ``LEAST_SCORE`` on the document
 holds a copy, whether exact, edited or partly rewritten.
@@ -31,7 +31,7 @@ from cartloom.llm.hashing import NO_WORD, word_hashes
 from cartloom.llm.shared import columns
 
 SEED_WORDS = 3
-# Share of an item's seeds, from the rarest on, that are used.
+# Share of an item's seeds, from the rarest on, that come first; passages that only others lead to come after them.
 RARE_SHARE = 0.75
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SCORE = 0.5
@@ -67,6 +67,7 @@ class Items:
     gram: np.ndarray
     item: np.ndarray
     place: np.ndarray
+    first: np.ndarray  # whether it is one of the item's rarer seeds
     _map: np.ndarray | None = field(default=None, repr=False)
 
     def __getstate__(self) -> dict:
@@ -80,18 +81,20 @@ class Items:
         item = np.repeat(np.arange(len(rows)), [len(g) for g in per_item])
         place = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(g)) for g in per_item]])
         order = np.argsort(gram, kind="stable")
-        return cls([i for i, _ in rows], words, gram[order], item[order], place[order])
+        return cls([i for i, _ in rows], words, gram[order], item[order], place[order], np.ones(len(gram), dtype=bool))
 
     def rare(self, counts: dict[int, int]) -> Items:
-        """Only the rarer share of each item's seeds, by the documents that hold them; those in no document go."""
+        """The seeds with the rarer share of each item marked, by the documents that hold them; those in no document go."""
         n = np.array([counts.get(int(g), 0) for g in self.gram.view(np.int64)], dtype=np.int64)
         order = np.lexsort((self.place, n, self.item))
         order = order[n[order] > 0]
         owner = self.item[order]
         first = np.searchsorted(owner, owner, side="left")
         held = np.searchsorted(owner, owner, side="right") - first
-        kept = np.sort(order[np.arange(len(order)) - first < np.ceil(held * RARE_SHARE)])
-        return Items(self.ids, self.words, self.gram[kept], self.item[kept], self.place[kept])
+        rarer = np.zeros(len(self.gram), dtype=bool)
+        rarer[order[np.arange(len(order)) - first < np.ceil(held * RARE_SHARE)]] = True
+        kept = np.sort(order)
+        return Items(self.ids, self.words, self.gram[kept], self.item[kept], self.place[kept], rarer[kept])
 
     def hits(self, words: np.ndarray) -> np.ndarray:
         """The places of ``words`` at which a seed may begin."""
@@ -134,7 +137,8 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
 
 def copies_in(words: np.ndarray, items: Items) -> list[tuple[int, float, int, int]]:
     """(item, score, first word, end word) of the best copy of each item that a text of ``words`` holds."""
-    windows: dict[int, list[list[int]]] = {}
+    # Start, end and whether a rarer seed leads there.
+    windows: dict[int, list[list]] = {}
     found = grams(words)
     for p in items.hits(words):
         a, b = np.searchsorted(items.gram, found[p]), np.searchsorted(items.gram, found[p], side="right")
@@ -145,19 +149,20 @@ def copies_in(words: np.ndarray, items: Items) -> list[tuple[int, float, int, in
             start, end = max(0, int(p) - place - room), min(len(words), int(p) - place + length + room)
             mine = windows.setdefault(item, [])
             if mine and start <= mine[-1][1]:
-                mine[-1][0], mine[-1][1] = min(start, mine[-1][0]), max(end, mine[-1][1])
+                last = mine[-1]
+                last[:] = min(start, last[0]), max(end, last[1]), last[2] or bool(items.first[k])
             else:
-                mine.append([start, end])
+                mine.append([start, end, bool(items.first[k])])
     out = []
     for item, spans in windows.items():
         target, best = items.words[item], (0.0, 0, 0)
-        for start, end in spans:
+        for start, end, _ in sorted(spans, key=lambda span: not span[2]):
             passage = words[start:end]
             # No alignment matches more words than the passage has of the item's.
-            if np.isin(target, passage).sum() < LEAST_SCORE * len(target):
+            if np.isin(target, passage).sum() < max(LEAST_SCORE, best[0]) * len(target):
                 continue
             score, a, b = align(target, passage)
-            if score > best[0] and b:
+            if b and (score, -start - a) > (best[0], -best[1]):
                 best = (score, start + a, start + b)
         if best[0] >= LEAST_SCORE:
             out.append((item, *best))
@@ -183,7 +188,7 @@ def seed_counts(docs: DataFrame, items: Items) -> dict[int, int]:
 
 
 def item_blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[Items]:
-    """The items in blocks of bounded size, with their rare seeds."""
+    """The items in blocks of bounded size, with their seeds."""
     rows = columns(benchmark, ("item_id", "text")).filter(F.col("text").isNotNull())
     size = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
     blocks = max(-(-size["n"] // BLOCK_ITEMS), -(-(size["bytes"] or 0) // BLOCK_BYTES))
