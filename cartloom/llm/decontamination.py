@@ -9,7 +9,8 @@ holds a copy, whether exact, edited or partly rewritten.
 Items go to the tasks in blocks of bounded size (``BLOCK_ITEMS`` and ``BLOCK_BYTES``; a larger benchmark takes a pass
 for each block), documents never move: no text is shuffled, and a document, however long, is aligned only around seeds.
 
-Words are runs of ASCII letters, digits and any other characters but ASCII ones, in lower case. Defined cases: null and empty texts hold and are nothing; items of less
+Words are runs of letters, digits and marks, in lower case; white space, punctuation, symbols and invisible characters part them,
+ASCII or not. Defined cases: null and empty texts hold and are nothing; items of less
 than ``SEED_WORDS`` words can't be told from chance and are never found; items of equal text are found each; repeated
 documents give repeated rows; extra columns are ignored by ``find`` and kept by ``decontaminated``; empty tables give an empty
 result or, for no items, all documents.
@@ -18,9 +19,11 @@ result or, for no items, all documents.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +44,25 @@ WORD = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
 MAP_BITS = 20
 
 
+# Categories of the characters that part words: spaces, punctuation, symbols, controls and invisible characters.
+PARTING = frozenset("Zs Zl Zp Pc Pd Ps Pe Pi Pf Po Sm Sc Sk So Cc Cf".split())
+NO_LETTER = re.compile(r"[^\x00-\x7f\w]")
+
+
+@lru_cache(maxsize=4096)
+def in_word(character: str) -> str:
+    """A blank for a character that parts words, any other as it is."""
+    return " " if unicodedata.category(character) in PARTING else character
+
+
+def lowered(text: str) -> str:
+    """Lower case, with a blank for each non-ASCII character that parts words."""
+    text = text.lower()
+    return text if text.isascii() else NO_LETTER.sub(lambda m: in_word(m[0]), text)
+
+
 def hashes_of(text: str | None) -> np.ndarray:
-    return word_hashes((text or "").lower().encode(), NO_WORD)
+    return word_hashes(lowered(text or "").encode(), NO_WORD)
 
 
 def grams(words: np.ndarray) -> np.ndarray:
@@ -233,13 +253,13 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def word_spans(text: str) -> list[tuple[int, int]]:
     """Places of the words; those of the lower-cased text where lower case changes the length of a character."""
-    lowered = text.lower()
-    if len(lowered) == len(text):
-        return [m.span() for m in WORD.finditer(lowered)]
+    low = lowered(text)
+    if len(low) == len(text):
+        return [m.span() for m in WORD.finditer(low)]
     origin = [i for i, c in enumerate(text) for _ in c.lower()]
-    if len(origin) != len(lowered):
-        origin = [min(i, len(text) - 1) for i in range(len(lowered))]
-    return [(origin[m.start()], origin[m.end() - 1] + 1) for m in WORD.finditer(lowered)]
+    if len(origin) != len(low):
+        origin = [min(i, len(text) - 1) for i in range(len(low))]
+    return [(origin[m.start()], origin[m.end() - 1] + 1) for m in WORD.finditer(low)]
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
