@@ -10,7 +10,8 @@ from tests.llm.test_language import TEXTS, learning_rows
 def test_a_rare_language_is_learned_beside_a_large_one(spark):
     """Two French rows among 12,000 English ones, all of them copies of one text."""
     prepared(spark)
-    data = [(i, TEXTS["en"], "en") for i in range(12_000)] + [(20_000 + i, TEXTS["fr"], "fr") for i in range(2)]
+    last = spark.range(20_000, 40_000).orderBy(F.xxhash64("id", F.lit(7)).desc()).limit(2)  # no smallest hash of all
+    data = [(i, TEXTS["en"], "en") for i in range(12_000)] + [(r["id"], TEXTS["fr"], "fr") for r in last.collect()]
     docs = documents(spark, data).drop("score")
     model = language.learn(docs, F.lit(True))
     assert model.languages == ["en", "fr"]
