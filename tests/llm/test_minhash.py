@@ -7,7 +7,7 @@ from cartloom.llm import minhash
 from tests.llm.shared import documents, rows, sentence
 
 
-def brute_force(data):
+def brute_force(data, percent=85):
     """doc_id -> (set size, component) by comparing all pairs of word-shingle sets."""
     sets = []
     for doc_id, text, *_ in data:
@@ -22,7 +22,7 @@ def brute_force(data):
         return x
 
     for (a, s), (b, t) in itertools.combinations(sets, 2):
-        if s and 100 * len(s & t) >= 85 * len(s | t):
+        if s and 100 * len(s & t) >= percent * len(s | t):
             low, high = sorted((root(a), root(b)))
             parent[high] = low
     return {d: (len(s), root(d)) for d, s in sets}

@@ -20,7 +20,8 @@ def test_stages_one_after_the_other(spark):
         assert frames[-1].columns == docs.columns
     known, single, clean, redacted = ({r["doc_id"]: r["text"] for r in f.collect()} for f in frames[1:])
     assert set(known) == set(texts)  # all of them are in a language that it knows
-    assert set(single) == {d for d, (n, c) in brute_force(known.items()).items() if d == c}
+    components = brute_force(known.items(), corpus_pipeline.NEAR_PERCENT)
+    assert set(single) == {d for d, (n, c) in components.items() if d == c}
     items = [r["text"] for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
     plain = lambda t: " ".join(re.findall("[0-9A-Za-z\x80-\U0010ffff]+", t.lower()))
     held = {d for d, t in single.items() if any(plain(i) in plain(t) for i in items)}
