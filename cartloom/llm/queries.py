@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cartloom.llm import decontamination, extraction, language, minhash, packing, secret_scan, sharding, token_files, topk, toxicity
+from cartloom.llm import (
+    decontamination, extraction, language, minhash, packing, secret_scan, sharding, token_files, topk, toxicity, whitening,
+)
 from cartloom.llm.shared import columns, documents, prepared, shared_path
 from cartloom.llm.tokenizing import vocabulary
 
@@ -118,3 +120,14 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.learn(columns(docs, ("doc_id", "text", "lang")), ~held_out)
     found = language.identify(columns(docs, ("doc_id", "text")), model)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query()
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors in their 32 leading components, whitened; a deviation beyond 64 bits is NULL."""
+    found = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    each = found.select("*", F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "of"))
+    return each.select(
+        "vec_id", (F.col("place") + 1).alias("component"), "n", F.col("deviation").try_cast("long").alias("deviation"),
+        "of.whitened", "of.explained", "identity_error",
+    )
