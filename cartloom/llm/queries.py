@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cartloom.llm import (
-    decontamination, extraction, language, minhash, packing, secret_scan, sharding, token_files, topk, toxicity, whitening,
+    decontamination, exact_dedup, extraction, language, minhash, packing, secret_scan, sharding, token_files, topk, toxicity,
+    whitening,
 )
 from cartloom.llm.shared import columns, documents, prepared, shared_path
 from cartloom.llm.tokenizing import vocabulary
@@ -131,3 +132,12 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", (F.col("place") + 1).alias("component"), "n", F.col("deviation").try_cast("long").alias("deviation"),
         "of.whitened", "of.explained", "identity_error",
     )
+
+
+@query(exact_dedup.EXACT_DEDUP_SQL)
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that are equal but for white space."""
+    docs = columns(documents(spark, sf_dir), ("doc_id", "text"))
+    docs = docs.withColumn("text_sha256", exact_dedup.text_sha256(F.col("text")))
+    found = exact_dedup.exact_duplicates(docs, with_text=False)
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")

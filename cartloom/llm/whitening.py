@@ -32,8 +32,8 @@ from cartloom.llm.topk import whole_numbers
 COMPONENTS = 32
 SCALE, OFFSET = 64, 1_000_000
 BLOCK = 16
-SEARCH_DIRECTIONS = 48
-INNER_STEPS = 4
+SEARCH_DIRECTIONS = 56
+INNER_STEPS = 3
 INNER_REDUCTION = 1e-3
 # Residuals count as rounding below so many units in the last place of the trace.
 RESIDUAL_UNITS = 4
