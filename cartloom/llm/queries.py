@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cartloom.llm import (
-    decontamination, exact_dedup, extraction, language, minhash, packing, secret_scan, sharding, token_files, topk, toxicity,
-    whitening,
+    decontamination, exact_dedup, extraction, language, minhash, packing, periodic_runs, secret_scan, sharding, token_files, topk,
+    toxicity, whitening,
 )
 from cartloom.llm.shared import columns, documents, prepared, shared_path
 from cartloom.llm.tokenizing import vocabulary
@@ -134,6 +134,21 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stretches of words that repeat four times and more in all documents, with planted ones, and the texts without the repeats."""
+    found = periodic_runs.periodic_runs(periodic_runs.with_planted_runs(documents(spark, sf_dir)))
+    best = periodic_runs.greatest(F.col("runs"))
+    line = lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))
+    listed = F.array_join(F.transform("runs", line), "")
+    return found.select("*", best.alias("best")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 @query(exact_dedup.EXACT_DEDUP_SQL)
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents that are equal but for white space."""
