@@ -6,7 +6,8 @@ text of which there are many copies is one row a task. A pair held by one row al
 The second scan hashes the whole text only of rows whose pair is held twice or more, and what goes on are
 hashes and numbers, never texts. The pairs are broadcast up to ``MOST_PAIRS`` (8 bytes each); beyond, almost every row has to be
 hashed anyway, and all are, by the same scan without the lookup. Groups come from a grouping on the whole
-hash, and only rows with one are joined to them.
+hash, and only rows with one are joined to them: large groups, of which there can only be ``HOT_GROUPS``, by
+broadcast, so that no task gathers the copies of one text.
 
 Of a group the row with the most code points stays, of these the one with the smallest ``doc_id`` (null last), of rows
 that agree in this too any one, exactly one. All of it is DataFrame functions.
@@ -25,6 +26,8 @@ from cartloom.llm.shared import stored
 WHITE_SPACE = " \t\n\x0b\f\r"
 HEAD_CHARS = 64
 MOST_PAIRS = 1 << 20
+# Groups with more than this part of all hashed rows are joined by broadcast.
+HOT_GROUPS = 1000
 
 
 def normalised(text: Column) -> Column:
@@ -36,7 +39,9 @@ def text_sha256(text: Column) -> Column:
     return F.sha2(normalised(text).cast("binary"), 256)
 
 
-def exact_duplicates(docs: DataFrame, with_text: bool = True, most_pairs: int = MOST_PAIRS) -> DataFrame:
+def exact_duplicates(
+    docs: DataFrame, with_text: bool = True, most_pairs: int = MOST_PAIRS, hot_groups: int = HOT_GROUPS
+) -> DataFrame:
     """``docs`` with keep_id (``doc_id`` of the row that stays), group_size and kept, one row a document.
 
     Without ``with_text`` the column ``text`` is left out, and no text is stored between the steps.
@@ -63,7 +68,12 @@ def exact_duplicates(docs: DataFrame, with_text: bool = True, most_pairs: int =
     order = F.struct(-F.col("points"), F.col("doc_id").isNull(), "doc_id", "place")
     groups = rows.filter("whole IS NOT NULL").groupBy("whole").agg(F.count("*").alias("size"), F.min(order).alias("best"))
     groups = groups.filter("size > 1").select("whole", "size", F.col("best.doc_id").alias("keep"), F.col("best.place").alias("stays"))
-    grouped = rows.filter("whole IS NOT NULL").join(groups, "whole", "left")
+    groups, hashed = stored(groups, "dedup-groups"), rows.filter("whole IS NOT NULL")
+    # Not more than hot_groups can be that large; their rows stay where they are.
+    is_hot = F.col("size") * hot_groups > hashed.count()
+    hot = F.broadcast(groups.filter(is_hot))
+    others = hashed.join(hot.select("whole"), "whole", "left_anti").join(groups.filter(~is_hot), "whole", "left")
+    grouped = hashed.join(hot, "whole").unionByName(others)
     alone = rows.filter("whole IS NULL").withColumns(
         {"size": F.lit(None).cast("long"), "keep": F.lit(None).cast(rows.schema["doc_id"].dataType), "stays": F.lit(None).cast("long")}
     )

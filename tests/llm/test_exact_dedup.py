@@ -47,9 +47,9 @@ DATA = [
 ]
 
 
-@pytest.mark.parametrize("most_pairs", [exact_dedup.MOST_PAIRS, 0])
-def test_against_brute_force(spark, most_pairs):
-    check(spark, DATA, most_pairs=most_pairs)
+@pytest.mark.parametrize("most_pairs, hot_groups", [(exact_dedup.MOST_PAIRS, 1), (0, 5), (0, exact_dedup.HOT_GROUPS)])
+def test_against_brute_force(spark, most_pairs, hot_groups):
+    check(spark, DATA, most_pairs=most_pairs, hot_groups=hot_groups)
 
 
 def test_random_texts_and_a_hot_one(spark):
