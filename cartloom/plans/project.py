@@ -14,7 +14,7 @@ from cartloom.plans import customers, sellers, staging
 from cartloom.session import configure
 from cartloom.sources.history import HistoryTable
 from cartloom.sources.seeds import seed_cities
-from cartloom.sources.tables import catalog_summary, create_namespace, drop_built, quote, save_table
+from cartloom.sources.tables import catalog_summary, create_namespace, drop_built, drop_table, quote, save_table
 
 # Accepted order statuses and states of the data tests.
 STATUSES = ("delivered", "shipped", "processing", "canceled", "invoiced", "approved", "created")
@@ -233,7 +233,7 @@ class Project:
             current = self.spark.table(stored).where(F.col(sellers.SELLER_TIME) == F.lit(str(at)).cast("timestamp_ntz"))
             history = self._history().apply(current)
         save_table(current, self._table("int_seller_performance"))
-        self.spark.sql(f"DROP TABLE {stored}")
+        drop_table(self.spark, stored)
         return history
 
     def test(self, select: Sequence[str] | None = None, raise_on_error: bool = True) -> DataFrame:

@@ -1,6 +1,6 @@
 """Where tables come from and where results go."""
 
-from cartloom.sources.csv import csv_tables, ingest_directory, ingest_once, read_csv
+from cartloom.sources.csv import csv_tables, ingest_directory, ingest_once, read_csv, splittable, typed
 from cartloom.sources.history import HistoryTable
 from cartloom.sources.schemas import RAW_SCHEMAS
 from cartloom.sources.seeds import read_seed, seed_cities
@@ -8,6 +8,7 @@ from cartloom.sources.tables import (
     catalog_summary,
     create_namespace,
     drop_built,
+    drop_table,
     namespace_exists,
     quote,
     row_counts,
@@ -21,6 +22,7 @@ __all__ = [
     "create_namespace",
     "csv_tables",
     "drop_built",
+    "drop_table",
     "ingest_directory",
     "ingest_once",
     "namespace_exists",
@@ -30,4 +32,6 @@ __all__ = [
     "row_counts",
     "save_table",
     "seed_cities",
+    "splittable",
+    "typed",
 ]

@@ -99,6 +99,78 @@ def csv_ingest_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables[0].union(tables[1])
 
 
+TYPED = {
+    "customer": "c_custkey:int,c_name:string,c_nationkey:int,c_mktsegment:string,zip:string,amount:double",
+    "orders": "o_orderkey:int,o_custkey:int,o_orderstatus:string,o_large:bigint,o_digits:string,o_open:boolean",
+}
+
+
+@query(
+    f"""
+SELECT 'customer' AS "table", '{TYPED['customer']}' AS types, CAST(c_custkey AS BIGINT) AS key, CAST(c_nationkey AS BIGINT) AS number,
+       c_mktsegment AS word, lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS digits, CAST(c_custkey + 0.5 AS DOUBLE) AS amount, NULL AS flag
+FROM customer
+UNION ALL
+SELECT 'orders', '{TYPED['orders']}', CAST(o_orderkey AS BIGINT), o_orderkey + 5000000000, o_orderstatus,
+       '1234567890123456789' || CAST(o_orderkey AS VARCHAR), NULL, o_orderstatus = 'O'
+FROM orders
+"""
+)
+def csv_ingest_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables that nobody declared, in the types their values allow over several part files, and these types."""
+    directory = shared_dir(spark, "csv_ingest_types_csv")
+    sources = {
+        "customer": (
+            "c_custkey", "c_name", "c_nationkey", "c_mktsegment",
+            "lpad(CAST(c_nationkey AS STRING), 5, '0') AS zip", "CAST(c_custkey + 0.5 AS DOUBLE) AS amount",
+        ),
+        "orders": (
+            "o_orderkey", "o_custkey", "o_orderstatus", "o_orderkey + 5000000000 AS o_large",
+            "'1234567890123456789' || o_orderkey AS o_digits", "o_orderstatus = 'O' AS o_open",
+        ),
+    }
+    for name, columns in sources.items():
+        rows = t.table(spark, sf_dir, name).selectExpr(*columns).repartition(3)
+        rows.write.option("header", True).csv(f"{directory}/{name}.csv")
+    database, location = new_database(spark, "csv_ingest_types")
+    ingest_directory(spark, directory, database, schemas={}, location=location)
+    loaded = {name: spark.table(f"{quote(database)}.{name}") for name in sources}
+    types = {name: F.lit(",".join(f"{c}:{kind}" for c, kind in df.dtypes)).alias("types") for name, df in loaded.items()}
+    none = F.lit(None)
+    customers = loaded["customer"].select(
+        F.lit("customer").alias("table"), types["customer"], F.col("c_custkey").cast("bigint").alias("key"),
+        F.col("c_nationkey").cast("bigint").alias("number"), F.col("c_mktsegment").alias("word"), F.col("zip").alias("digits"),
+        "amount", none.cast("boolean").alias("flag"),
+    )
+    orders = loaded["orders"].select(
+        F.lit("orders"), types["orders"], F.col("o_orderkey").cast("bigint"), "o_large", "o_orderstatus", "o_digits",
+        none.cast("double"), "o_open",
+    )
+    return customers.union(orders)
+
+
+@query(
+    f"""
+SELECT CAST(o_orderkey AS BIGINT) AS id, {CSV_NOTE.format('o_orderstatus')} AS note FROM orders WHERE o_orderstatus = 'F'
+UNION ALL
+SELECT CAST(o_orderkey AS BIGINT), 'one line, "' || o_orderpriority || '"' FROM orders WHERE o_orderstatus <> 'F'
+"""
+)
+def csv_split_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose files are read split over tasks, but for those in which a value breaks its line."""
+    directory = shared_dir(spark, "csv_split_lines_csv")
+    orders = t.table(spark, sf_dir, "orders")
+    notes = {
+        "o_orderstatus = 'F'": "concat('line one\n\"', o_orderstatus, '\", x\n,end') AS note",
+        "o_orderstatus <> 'F'": "concat('one line, \"', o_orderpriority, '\"') AS note",
+    }
+    for rows, note in notes.items():
+        writer = orders.where(rows).selectExpr("o_orderkey AS id", note).write.mode("append")
+        writer.option("header", True).option("escape", '"').csv(f"{directory}/notes.csv")
+    schema = StructType([StructField("id", LongType()), StructField("note", StringType())])
+    return read_csv(spark, f"{directory}/notes.csv", schema, split_bytes=0)
+
+
 @query("SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
 def table_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table that held other rows before it was replaced."""

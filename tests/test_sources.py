@@ -1,3 +1,7 @@
+import os
+import time
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -10,6 +14,7 @@ from cartloom.sources import (
     create_namespace,
     csv_tables,
     drop_built,
+    drop_table,
     ingest_directory,
     ingest_once,
     namespace_exists,
@@ -18,7 +23,10 @@ from cartloom.sources import (
     read_seed,
     save_table,
     seed_cities,
+    splittable,
+    typed,
 )
+from cartloom.sources import csv, tables
 from cartloom.sources.schemas import REAL, TEXT, WHOLE, schema
 from cartloom.sources.seeds import CITIES_CSV, CITIES_SCHEMA
 
@@ -81,7 +89,7 @@ def test_ingest(spark, tmp_path, database):
     assert sorted(tuple(r) for r in report.collect()) == expected
     assert report.agg(F.sum("row_count")).first()[0] == 6
     assert spark.table(f"{database}.shop_orders").schema.names == RAW_SCHEMAS["orders"].names
-    # Undeclared tables stay text.
+    # Values that a number would change stay text.
     assert {r["zip"] for r in spark.table(f"{database}.geo").collect()} == {"01", "02"}
     assert ingest_once(spark, str(tmp_path), database) is None
     # A second load replaces the tables.
@@ -236,3 +244,155 @@ def test_named_shared_dir_is_emptied(spark):
     spark.range(1).write.parquet(first)
     assert shared_dir(spark, "named") == first
     spark.range(1).write.parquet(first)
+
+
+def records(path, count, note=lambda i: f'"said ""{i}"", left"'):
+    with open(path, "w", newline="") as file:
+        file.write("id,note\r\n")
+        file.writelines(f"{i},{note(i)}\r\n" for i in range(count))
+    return str(path)
+
+
+def test_large_file_is_split_without_an_option(spark, tmp_path):
+    columns = schema(id=WHOLE, note=TEXT)
+    path = records(tmp_path / "t.csv", 400_000)
+    df = read_csv(spark, path, columns)
+    assert df.rdd.getNumPartitions() == 3  # 12 MB
+    assert read_csv(spark, path, columns, multiline=True).rdd.getNumPartitions() == 1
+    found = df.agg(F.count("*"), F.sum("id"), F.count_distinct("note"), F.max(F.length("note"))).first()
+    assert tuple(found) == (400_000, 400_000 * 399_999 // 2, 400_000, len('said "399999", left'))
+
+
+def test_files_with_line_breaks_in_values_are_read_whole(spark, tmp_path):
+    columns, folder = schema(id=WHOLE, note=TEXT), tmp_path / "t a.csv"
+    folder.mkdir()
+    records(folder / "plain.csv", 300)
+    records(folder / "broken 1.csv", 300, lambda i: '"two\nlines, ""x"""')
+    df = read_csv(spark, str(folder), columns, split_bytes=100)
+    assert df.where("note = 'two\\nlines, \"x\"'").count() == 300
+    assert df.count() == 600
+    assert df.select("id").distinct().count() == 300
+    every = read_csv(spark, str(folder), columns, multiline=True)
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, every.collect()))
+
+
+@pytest.mark.parametrize(
+    "text, alone",
+    [
+        ("a\n1\n", True), ("a\r\n1\r\n\r\n2", True), ('a\n"x ""y"" z"\n', True), ("a\n\n1\n", True), ("", True),
+        ('a\n"x\ny"\n', False), ('a\n"x\n""y""\nz"\n', False), ("a\n1\r2\n", False), ("a\r1\r2\r", False),
+        ("a\n  \n1\n", False), ("a\n \r\n1\n", False), ('a\n"x\ry"\n', False), ("a\n1\r\r\n", False),
+    ],
+)
+def test_lines_that_are_rows(spark, tmp_path, text, alone):
+    path = "file:" + write(tmp_path / "t é.csv", text)
+    assert splittable(spark, [path]) == ([path] if alone else [])
+
+
+@pytest.mark.parametrize("text", ["a\n  \n1\n", 'a\r\n"x\r\ny"\r\n2\r\n', "a\n1\n\n2\n", 'a\n"x ""y"" z"\n', "a\n", "a\r\n1\r\n2"])
+def test_split_and_whole_files_give_the_same_rows(spark, tmp_path, text):
+    path = write(tmp_path / "t.csv", text)
+    found = [read_csv(spark, path, schema(a=TEXT), **o).collect() for o in ({"split_bytes": 0}, {"multiline": True})]
+    assert found[0] == found[1]
+
+
+def test_types_of_undeclared_columns(spark, tmp_path, database):
+    folder = tmp_path / "t.csv"
+    folder.mkdir()
+    header = "flag,small,large,real,mixed,zip,huge,beyond,word,none,signed,at"
+    write(folder / "a.csv", f"{header}\nTrue,1,5000000000,1.5,3,01,99999999999999999999,9007199254740993,x,,+7,2017-01-01\n")
+    write(folder / "b.csv", f"{header}\nfalse,-2,1,1e3,0.25,20,1,0.5,7,NaN,-0,2017-01-02\n,,NA,null,,,,,,,,\n")
+    report = ingest_directory(spark, str(tmp_path), database)
+    assert [tuple(r) for r in report.collect()] == [("t", 3)]
+    table = spark.table(f"{database}.t")
+    assert dict(table.dtypes) == {
+        "flag": "boolean", "small": "int", "large": "bigint", "real": "double", "mixed": "double", "zip": "string",
+        "huge": "string", "beyond": "string", "word": "string", "none": "string", "signed": "int", "at": "string",
+    }
+    rows = {tuple(r) for r in table.select("flag", "small", "large", "real", "mixed", "zip", "huge", "signed").collect()}
+    assert rows == {
+        (True, 1, 5_000_000_000, 1.5, 3.0, "01", "99999999999999999999", 7), (False, -2, 1, 1000.0, 0.25, "20", "1", 0), (None,) * 8,
+    }
+    ingest_directory(spark, str(tmp_path), database, infer=False)
+    assert {kind for _, kind in spark.table(f"{database}.t").dtypes} == {"string"}
+    assert read_csv(spark, str(folder)).schema == typed(read_csv(spark, str(folder)).where("false")).schema
+
+
+def folders(tmp_path):
+    return sorted(p.name for p in tmp_path.glob("db/t__versions/*"))
+
+
+def test_a_replacement_that_dies_before_the_switch_leaves_the_old_rows(spark, database, tmp_path, monkeypatch):
+    create_namespace(spark, database, str(tmp_path / "db"))
+    name = f"{database}.t"
+    save_table(spark.range(5), name)
+    reader = spark.table(name)
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "_switch", die)
+        with pytest.raises(RuntimeError):
+            save_table(spark.range(9), name)
+    assert spark.table(name).count() == 5
+    assert len(folders(tmp_path)) == 2
+    # Readers of the version before go on reading it.
+    save_table(spark.range(7), name)
+    assert (spark.table(name).count(), reader.count()) == (7, 5)
+    save_table(spark.range(8), name)
+    assert spark.table(name).count() == 8
+    assert len(folders(tmp_path)) == 2
+    assert {t.name for t in spark.catalog.listTables(database) if not t.isTemporary} == {"t"}
+
+
+def test_the_switch_is_one_catalog_call(spark, database, tmp_path):
+    create_namespace(spark, database, str(tmp_path / "db"))
+    name = f"{database}.t"
+    save_table(spark.range(5), name)
+    before = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Created Time'").first()
+    other = spark.newSession()
+    save_table(spark.range(6), name)
+    after = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Created Time'").first()
+    assert before == after
+    assert other.table(name).count() == 6
+    # Other columns, or buckets, need a new entry.
+    save_table(spark.range(3).withColumn("b", F.lit("x")), name)
+    assert spark.table(name).columns == ["id", "b"]
+    drop_table(spark, name)
+    assert not spark.catalog.tableExists(name)
+    assert folders(tmp_path) == []
+
+
+def test_rows_are_counted_as_they_are_written(spark, database):
+    create_namespace(spark, database)
+    measures = {"rows": F.count("*"), "odd": F.count_if(F.col("id") % 2 == 1)}
+    for options in ({}, {"bucket_by": "id", "buckets": 3}, {"cluster_by": ["id"]}):
+        assert save_table(spark.range(11), f"{database}.t", measures=measures, **options) == {"rows": 11, "odd": 5}
+    assert save_table(spark.range(0), f"{database}.t", measures=measures) == {"rows": 0, "odd": 0}
+
+
+def test_two_loaders_load_once(spark, tmp_path, database, monkeypatch):
+    write(tmp_path / "t.csv", "a\n" + "1\n" * 50)
+    loads = []
+    load = csv.ingest_directory
+    monkeypatch.setattr(csv, "ingest_directory", lambda *a, **k: (loads.append(1), load(*a, **k))[1])
+    with ThreadPoolExecutor(4) as pool:
+        found = list(pool.map(lambda _: ingest_once(spark, str(tmp_path), database), range(4)))
+    assert len(loads) == 1
+    assert sum(r is not None for r in found) == 1
+    assert spark.table(f"{database}.t").count() == 50
+
+
+def test_a_claim_is_freed_and_lapses(spark, tmp_path):
+    path = str(tmp_path / "claims" / "_loading")
+    with pytest.raises(RuntimeError):
+        with csv.claimed(spark, path):
+            raise RuntimeError("failed")
+    with csv.claimed(spark, path):
+        start = time.time()
+        old = time.time() - 100
+        os.utime(path, (old, old))
+        with csv.claimed(spark, path, lapse=50):  # the first holder is taken for lost
+            assert time.time() - start < 30
+    assert not os.path.exists(path)
