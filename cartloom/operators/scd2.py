@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from cartloom.functions.keys import version_key
+from cartloom.operators.windows import ROWS_PER_TASK, over_key, quoted
 
 HISTORY_COLUMNS = ("version_id", "valid_from", "valid_to")
 
@@ -67,12 +68,17 @@ def scd2_start(current: DataFrame, key: str, updated_at: str) -> DataFrame:
     )
 
 
-def close_versions(versions: DataFrame, key: str, updated_at: str) -> DataFrame:
-    """History of versions that are all at hand: each one ends where the key's next one starts."""
-    following = Window.partitionBy(key).orderBy(updated_at)
-    return versions.select(
-        "*",
+def close_versions(
+    versions: DataFrame, key: str, updated_at: str, rows_per_task: int | None = ROWS_PER_TASK
+) -> DataFrame:
+    """History of versions that are all at hand: each one ends where the key's next one starts.
+
+    A key may have any number of versions; ``rows_per_task=None`` says that none has many (see ``over_key``).
+    """
+    closed = over_key(versions, key, updated_at, following={"valid_to": updated_at}, rows_per_task=rows_per_task)
+    return closed.select(
+        *[F.col(quoted(c)) for c in versions.columns],
         version_key(key, updated_at).alias("version_id"),
         F.col(updated_at).alias("valid_from"),
-        F.lead(updated_at).over(following).alias("valid_to"),
+        "valid_to",
     )

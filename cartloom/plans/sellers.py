@@ -135,7 +135,8 @@ def seller_tier_history(
     Each round's calculation time is newer than the one before, so every seller present gets a
     version per round, as it does when the snapshots are taken one after the other.
     """
-    return close_versions(seller_performance_rounds(items, rounds, thresholds), SELLER_KEY, SELLER_TIME)
+    # A seller has one row a round at most.
+    return close_versions(seller_performance_rounds(items, rounds, thresholds), SELLER_KEY, SELLER_TIME, None)
 
 
 def _time(updated_at: dt.datetime | str | Column | None) -> Column:

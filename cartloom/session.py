@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every plan in this package relies on.
 RUNTIME_CONF = {
@@ -57,6 +57,13 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     return folder
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to a working folder and read back: computed once, the same rows for every later step."""
+    folder = shared_dir(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def setting(spark: SparkSession, name: str, default: str | None = None) -> str | None:
     """Configuration by name: Spark conf ``cartloom.<name>``, then the environment, then the default."""
     value = spark.conf.get(f"cartloom.{name}", None)

@@ -26,12 +26,14 @@ from cartloom.operators import (
     failing_rows,
     orphan_keys,
     orphans,
+    over_key,
     quality_report,
     rolling_sum,
     running_sum,
     with_known_key,
 )
 from cartloom.plans import customers
+from cartloom.session import stored
 from cartloom.workload import models as m, tables as t
 from cartloom.workload.registry import query
 
@@ -345,7 +347,54 @@ def version_closing(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = customers.daily_payments(
         m.stg_orders_input(spark, sf_dir), m.payments_input(spark, sf_dir), t.EXCLUDED
     )
-    return close_versions(daily.drop("daily_payment_value"), "customer_id", "order_date")
+    return close_versions(daily.drop("daily_payment_value"), "customer_id", "order_date", None)
+
+
+HOT_SQL = f"""
+SELECT CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE o_custkey END AS customer_id, o_orderkey AS order_id, paid FROM orders
+JOIN (SELECT l_orderkey, SUM(CAST(l_extendedprice AS DECIMAL(10,2))) AS paid FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey
+"""
+
+
+def hot_customer(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """Paid orders, a third of them of one customer, and a size of which that customer has many."""
+    paid = m.payments_input(spark, sf_dir).groupBy("order_id").agg(F.sum("payment_value").alias("paid"))
+    orders = t.raw_orders(spark, sf_dir).join(paid, "order_id")
+    customer = F.when(F.col("customer_id") % 3 == 0, 0).otherwise(F.col("customer_id"))
+    return stored(orders.select(customer.alias("customer_id"), "order_id", "paid")), 500
+
+
+@query(
+    f"""
+SELECT customer_id, order_id, CAST(SUM(paid) OVER total AS DOUBLE) AS paid_total, ROW_NUMBER() OVER total AS orders_total,
+       CAST(SUM(paid) OVER w7 AS DOUBLE) AS paid_7, CAST(SUM(paid) OVER w14 AS DOUBLE) AS paid_14
+FROM ({HOT_SQL})
+WINDOW total AS (PARTITION BY customer_id ORDER BY order_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+       w7 AS (PARTITION BY customer_id ORDER BY order_id ROWS BETWEEN 6 PRECEDING AND CURRENT ROW),
+       w14 AS (PARTITION BY customer_id ORDER BY order_id ROWS BETWEEN 13 PRECEDING AND CURRENT ROW)
+"""
+)
+def hot_key_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running, 7-row and 14-row sums where one customer has a third of all orders, split over tasks."""
+    rows, size = hot_customer(spark, sf_dir)
+    found = over_key(
+        rows, "customer_id", "order_id", running={"paid_total": "paid", "orders_total": F.lit(1)},
+        rolling={"paid_7": ("paid", 7), "paid_14": ("paid", 14)}, rows_per_task=size,
+    )
+    return found.drop("paid")
+
+
+@query(
+    f"""
+SELECT customer_id, order_id, md5(CAST(customer_id AS VARCHAR) || '|' || CAST(order_id AS VARCHAR)) AS version_id,
+       order_id AS valid_from, LEAD(order_id) OVER (PARTITION BY customer_id ORDER BY order_id) AS valid_to
+FROM ({HOT_SQL})
+"""
+)
+def hot_key_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions that last until the key's next one where one key has a third of all versions, split over tasks."""
+    rows, size = hot_customer(spark, sf_dir)
+    return close_versions(rows.drop("paid"), "customer_id", "order_id", size)
 
 
 # Scalar functions and reusable expressions

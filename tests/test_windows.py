@@ -1,0 +1,87 @@
+"""Windows over keys of any size."""
+
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import Window, functions as F
+
+from cartloom.operators import close_versions, over_key
+from cartloom.operators.windows import place_in_key
+from tests.compare import spark_rows
+
+
+def features():
+    return {
+        "running": {"total": "v", "seen": F.lit(1)},
+        "rolling": {"last3": ("v", 3), "last14": (F.col("v") * 2, 14)},
+        "following": {"next": "n"},
+    }
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "k string, n int, v decimal(10,2), note string")
+
+
+def random_rows(seed, hot=400, others=300):
+    rng = random.Random(seed)
+    value = lambda: None if rng.random() < 0.1 else Decimal(rng.randrange(10_000)) / 100
+    rows = [("hot", n, value(), "x") for n in range(hot)]
+    rows += [(rng.choice("abcdefgh"), n, value(), None) for n in range(1000, 1000 + others)]
+    rows += [(None, n, value(), "null key") for n in range(2000, 2090)]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("rows_per_task", [1, 7, 25, 100, 399])
+def test_split_windows_equal_plain_ones(spark, rows_per_task):
+    df = frame(spark, random_rows(rows_per_task))
+    plain = over_key(df, "k", "n", **features(), rows_per_task=None)
+    split = over_key(df, "k", "n", **features(), rows_per_task=rows_per_task)
+    assert split.schema.simpleString() == plain.schema.simpleString()
+    assert spark_rows(split) == spark_rows(plain)
+    window = Window.partitionBy("k").orderBy("n")
+    by_hand = df.select(
+        "*", F.sum(F.coalesce("v", F.lit(0))).over(window.rowsBetween(-2, 0)).alias("last3"), F.lead("n").over(window).alias("next")
+    )
+    assert spark_rows(split.select(by_hand.columns)) == spark_rows(by_hand)
+
+
+def test_equal_order_and_repeated_rows(spark):
+    rows = [("hot", n // 5, Decimal(n % 3), str(n % 7)) for n in range(300)] + [("hot", 7, Decimal(1), "same")] * 40
+    df = frame(spark, rows)
+    split, plain = (over_key(df, "k", ["n", "note"], **features(), rows_per_task=r) for r in (20, None))
+    assert spark_rows(split) == spark_rows(plain)
+
+
+def test_no_large_key_no_rows_and_only_sums(spark):
+    df = frame(spark, random_rows(1, hot=3, others=20))
+    assert spark_rows(over_key(df, "k", "n", running={"t": "v"})) == spark_rows(over_key(df, "k", "n", running={"t": "v"}, rows_per_task=None))
+    assert over_key(df.limit(0), "k", "n", **features(), rows_per_task=1).count() == 0
+    df = frame(spark, random_rows(2))
+    sums = {"running": {"t": "v"}}
+    assert spark_rows(over_key(df, "k", "n", **sums, rows_per_task=50)) == spark_rows(over_key(df, "k", "n", **sums, rows_per_task=None))
+
+
+def test_a_third_of_the_rows_in_one_key_stays_in_small_tasks(spark):
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.xxhash64("id").alias("n"), F.lit(1).alias("v")
+    )
+    hot = rows.where("k = -1")
+    placed = place_in_key(hot, "k", ["n"], {"total": "v"}, 10_000, 500)
+    assert placed.groupBy("_range").count().agg(F.max("count")).first()[0] <= 1000
+    assert placed.where("_place + 1 != total").count() == 0
+    assert placed.agg(F.count_distinct("_place"), F.max("_place")).first()[:] == (10_000, 9_999)
+    found = over_key(rows, "k", "n", running={"total": "v"}, rolling={"last": ("v", 7)}, rows_per_task=500)
+    partitions = [len(p) for p in found.rdd.glom().collect()]
+    assert sum(partitions) == 30_000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_versions_of_a_large_key(spark):
+    df = frame(spark, random_rows(3)).drop("v")
+    split, plain = (close_versions(df, "k", "n", rows_per_task=r) for r in (30, None))
+    assert split.columns == ["k", "n", "note", "version_id", "valid_from", "valid_to"]
+    assert spark_rows(split) == spark_rows(plain)
+    assert split.where("valid_to IS NULL").count() == len({r[0] for r in random_rows(3)})
