@@ -25,6 +25,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--select", nargs="+", metavar="MODEL|tag:TAG", help="models to run or test")
     p.add_argument("--vars", type=json.loads, default={}, help="run variables as a JSON object")
     p.add_argument("--buckets", type=int, default=0, help="lay staging tables out by order in N buckets")
+    p.add_argument("--history-buckets", type=int, default=0, help="keep the open versions of the history in N buckets")
     p.add_argument("--initial-partitions", type=int, help="shuffle partitions to start with, about shuffled bytes / 128 MB")
     p.add_argument("--single-line", nargs="+", default=(), metavar="TABLE", help="tables without line breaks in quotes, whose files are split over tasks")
     p.add_argument("--directory", help="folder of CSV files to ingest")
@@ -47,7 +48,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         return
     project = Project(
         spark, database, raw, args.source_prefix, variables=args.vars, buckets=args.buckets,
-        initial_partitions=args.initial_partitions,
+        initial_partitions=args.initial_partitions, history_buckets=args.history_buckets,
     )
     if args.command == "run":
         print("\n".join(project.run(args.select)))

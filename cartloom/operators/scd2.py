@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cartloom.functions.keys import version_key
 from cartloom.operators.windows import ROWS_PER_TASK, over_key, quoted
@@ -18,20 +18,9 @@ def scd2_changes(open_versions: DataFrame, current: DataFrame, key: str, updated
     missing from ``current`` stay open. Both sides hold one row per key, so this is one
     one-to-one join; both result rows come out of it in the same pass. A key that ``current`` holds twice raises.
     """
-    columns, current = current.columns, one_per_key(current, key)
+    columns, seen = _seen(current, key, updated_at)
     old = open_versions.select(F.col(key), F.struct(*columns, *HISTORY_COLUMNS).alias("old"))
-    seen = current.select(
-        F.col(key),
-        F.struct(
-            *columns,
-            version_key(key, updated_at).alias("version_id"),
-            F.col(updated_at).alias("valid_from"),
-            F.lit(None).cast(current.schema[updated_at].dataType).alias("valid_to"),
-        ).alias("new"),
-    )
-    is_new = F.col("new").isNotNull() & (
-        F.col("old").isNull() | (F.col(f"new.{updated_at}") > F.col("old.valid_from"))
-    )
+    is_new = F.col("new").isNotNull() & _newer(updated_at)
     closed_at = F.when(is_new, F.col("new.valid_from"))
     kept = F.when(F.col("old").isNotNull(), F.col("old").withField("valid_to", closed_at))
     added = F.when(is_new, F.col("new"))
@@ -40,6 +29,34 @@ def scd2_changes(open_versions: DataFrame, current: DataFrame, key: str, updated
     return versions.select("v.*")
 
 
+def scd2_new_versions(open_versions: DataFrame, current: DataFrame, key: str, updated_at: str) -> DataFrame:
+    """(key, new, old): only what ``current`` changes, the new version and the open one that it closes, if there is one.
+
+    ``old`` has its end set. Open versions that stay as they are don't come out of the join; a key twice raises.
+    """
+    columns, seen = _seen(current, key, updated_at)
+    old = open_versions.select(F.col(key), F.struct(*columns, *HISTORY_COLUMNS).alias("old"))
+    changed = seen.join(old, key, "left").where(_newer(updated_at))
+    closed = F.when(F.col("old").isNotNull(), F.col("old").withField("valid_to", F.col("new.valid_from")))
+    return changed.select(key, "new", closed.alias("old"))
+
+
+def _seen(current: DataFrame, key: str, updated_at: str) -> tuple[list[str], DataFrame]:
+    """The columns of ``current``, and its keys with the version that each would open."""
+    columns, current = current.columns, one_per_key(current, key)
+    version = F.struct(
+        *columns,
+        version_key(key, updated_at).alias("version_id"),
+        F.col(updated_at).alias("valid_from"),
+        F.lit(None).cast(current.schema[updated_at].dataType).alias("valid_to"),
+    )
+    return columns, current.select(F.col(key), version.alias("new"))
+
+
+def _newer(updated_at: str) -> Column:
+    return F.col("old").isNull() | (F.col(f"new.{updated_at}") > F.col("old.valid_from"))
+
+
 def one_per_key(current: DataFrame, key: str) -> DataFrame:
     """``current``, which raises when it is read if it holds a key twice.
 

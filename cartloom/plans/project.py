@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cartloom.operators.quality import Check, enforce, quality_report
 from cartloom.plans import customers, sellers, staging
 from cartloom.session import configure
-from cartloom.sources.history import HistoryTable
+from cartloom.sources.history import BucketedHistoryTable, HistoryTable
 from cartloom.sources.seeds import seed_cities
 from cartloom.sources.tables import catalog_summary, create_namespace, drop_built, drop_table, quote, save_table
 
@@ -134,7 +134,8 @@ class Project:
     ``sources`` maps a raw table to a DataFrame or table name; raw tables it leaves out are read
     from ``source_database`` under ``source_prefix``. ``variables`` are keyword arguments of the
     model functions (``snapshot_date``, ``last_day``, ...), each given to the models that take
-    it. With ``buckets``, the staging tables joined on the order are laid out by it.
+    it. With ``buckets``, the staging tables joined on the order are laid out by it, with ``history_buckets``
+    the open versions of the history by their key.
     """
 
     def __init__(
@@ -149,7 +150,9 @@ class Project:
         buckets: int = 0,
         location: str | None = None,
         initial_partitions: int | None = None,
+        history_buckets: int = 0,
     ):
+        self.history_buckets = history_buckets
         self.spark, self.database, self.models, self.buckets = spark, database, models, buckets
         self.source_database, self.source_prefix = source_database or database, source_prefix
         self.sources, self.variables = dict(sources or {}), dict(variables or {})
@@ -283,7 +286,8 @@ class Project:
             raise ValueError(f"no model takes {', '.join(sorted(unknown))}")
 
     def _history(self) -> HistoryTable:
-        return HistoryTable(self.spark, self.database, SNAPSHOT, sellers.SELLER_KEY, sellers.SELLER_TIME)
+        named = (self.spark, self.database, SNAPSHOT, sellers.SELLER_KEY, sellers.SELLER_TIME)
+        return BucketedHistoryTable(*named, self.history_buckets) if self.history_buckets else HistoryTable(*named)
 
     def _table(self, name: str) -> str:
         if name in self.models and self.models[name].materialized == "view":

@@ -1,7 +1,7 @@
 """Where tables come from and where results go."""
 
 from cartloom.sources.csv import csv_tables, ingest_directory, ingest_once, read_csv, splittable, typed
-from cartloom.sources.history import HistoryTable
+from cartloom.sources.history import BucketedHistoryTable, HistoryTable
 from cartloom.sources.schemas import RAW_SCHEMAS
 from cartloom.sources.seeds import read_seed, seed_cities
 from cartloom.sources.tables import (
@@ -16,6 +16,7 @@ from cartloom.sources.tables import (
 )
 
 __all__ = [
+    "BucketedHistoryTable",
     "HistoryTable",
     "RAW_SCHEMAS",
     "catalog_summary",

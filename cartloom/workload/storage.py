@@ -10,7 +10,7 @@ from cartloom.plans import sellers
 from cartloom.plans.project import SNAPSHOT, Project
 from cartloom.session import shared_dir
 from cartloom.sources.csv import ingest_directory, ingest_once, read_csv
-from cartloom.sources.history import HistoryTable
+from cartloom.sources.history import BucketedHistoryTable, HistoryTable
 from cartloom.sources.seeds import read_seed
 from cartloom.sources.tables import create_namespace, drop_built, quote, row_counts, save_table
 from cartloom.workload import models as m, tables as t
@@ -248,8 +248,7 @@ def scd2_one_round(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2_apply(scd2_start(first, key, time), second, key, time)
 
 
-@query(
-    f"""
+SNAP_SQL = f"""
 WITH first AS ({m.ROUNDS_SQL[0]}), second AS ({m.ROUNDS_SQL[2]}), late AS ({m.ROUNDS_SQL[3]})
 SELECT v.*, {m.VERSION_ID_SQL}, updated_at AS valid_from,
        CASE WHEN seller_id IN (SELECT seller_id FROM second) THEN TIMESTAMP '1997-01-01' END AS valid_to
@@ -262,7 +261,9 @@ SELECT v.* REPLACE (TIMESTAMP '1995-03-01' AS updated_at),
 FROM late v
 WHERE seller_id NOT IN (SELECT seller_id FROM first) AND seller_id NOT IN (SELECT seller_id FROM second)
 """
-)
+
+
+@query(SNAP_SQL)
 def snap_seller_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored history: a first snapshot, a newer one that closes its versions, and a late one.
 
@@ -277,6 +278,19 @@ def snap_seller_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.read()
 
 
+@query(SNAP_SQL)
+def snap_seller_tier_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same three snapshots with the open versions in hash buckets, of which only those with a change are written."""
+    database, location = new_database(spark, "snap_seller_tier_bucketed")
+    create_namespace(spark, database, location)
+    items = m.stored_items(spark, sf_dir)
+    buckets = max(4, -(-t.table(spark, sf_dir, "supplier").count() // ROWS_PER_BUCKET))
+    history = BucketedHistoryTable(spark, database, SNAPSHOT, sellers.SELLER_KEY, sellers.SELLER_TIME, buckets)
+    for snapshot_date, updated_at in (t.ROUNDS[0], t.ROUNDS[2], (t.ROUNDS[3][0], t.ROUNDS[0][1])):
+        history.apply(sellers.seller_performance(items, snapshot_date, updated_at))
+    return history.read()
+
+
 @query(
     f"""
 WITH first AS ({m.ROUNDS_SQL[0]}), second AS ({m.ROUNDS_SQL[2]})

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from cartloom.operators import close_versions, scd2_apply
 from cartloom.operators.scd2 import scd2_start
-from cartloom.sources import HistoryTable, create_namespace, save_table
+from cartloom.session import stored
+from cartloom.sources import BucketedHistoryTable, HistoryTable, create_namespace, save_table
 from tests.compare import spark_rows
 
 SCHEMA = "id string, tier string, at timestamp_ntz"
@@ -85,6 +86,13 @@ def table(spark):
     spark.sql("DROP DATABASE history_test CASCADE")
 
 
+@pytest.fixture
+def bucketed(spark):
+    create_namespace(spark, "bucketed_test")
+    yield BucketedHistoryTable(spark, "bucketed_test", "snap_tier", "id", "at", 8)
+    spark.sql("DROP DATABASE bucketed_test CASCADE")
+
+
 def test_history_table(spark, table):
     states = [
         state(spark, ("a", "bronze", 1), ("b", "bronze", 1)),
@@ -156,3 +164,98 @@ def test_a_key_twice_raises(spark, table):
     with pytest.raises(Exception, match="not unique"):
         table.apply(twice)
     assert plain(table.read()) == [("a", "bronze", 1, None)]
+
+
+def test_bucketed_history_equals_repeated_apply(spark, bucketed):
+    states = [
+        state(spark, ("a", "bronze", 1), ("b", "bronze", 1)),
+        state(spark, ("a", "silver", 2), ("b", "bronze", 1)),
+        state(spark, ("a", "gold", 3), ("c", "bronze", 3)),
+        state(spark, ("a", "gold", 3), ("b", "silver", 4)),
+        state(spark, ("a", "gold", 3)),
+    ]
+    expected = scd2_start(states[0], "id", "at")
+    for n, current in enumerate(states):
+        if n:
+            expected = scd2_apply(expected, current, "id", "at")
+        history = bucketed.apply(current)
+        assert bucketed.round() == n + 1
+        assert spark_rows(history) == spark_rows(expected)
+        check_invariants(history)
+
+
+def files_by_bucket(table, number):
+    found = {}
+    for path in table.open_versions(table.latest(number)).inputFiles():
+        found.setdefault(path.split("bucket=")[1].split("/")[0], set()).add(path)
+    return found
+
+
+def test_buckets_without_a_change_keep_their_files(spark, bucketed):
+    first = [(f"k{i}", "bronze", 1) for i in range(60)]
+    bucketed.apply(state(spark, *first))
+    before = files_by_bucket(bucketed, 1)
+    assert len(before) == 8
+    history = bucketed.apply(state(spark, *first[1:], ("k0", "gold", 2)))
+    after = files_by_bucket(bucketed, 2)
+    changed = [b for b in after if after[b] != before.get(b)]
+    assert len(changed) == 1
+    assert all(len(files) == 1 for files in after.values())
+    assert history.count() == 61
+    # Nothing at all changed: nothing is written.
+    assert bucketed.apply(state(spark, *first[1:])).count() == 61
+    assert files_by_bucket(bucketed, 3) == after
+    # The files before are there for one more round, then they go.
+    kept = {(s["round"], s["bucket"]) for s in bucketed._partitions(bucketed.open)}
+    assert kept == {(r, b) for b, r in bucketed.latest(3).items()}
+
+
+def test_stored_side_is_not_shuffled(spark, bucketed):
+    bucketed.apply(state(spark, *[(f"k{i}", "bronze", 1) for i in range(60)]))
+    latest, current = bucketed.latest(1), state(spark, ("k1", "gold", 2), ("new", "gold", 2))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        changes = bucketed.changes(latest, current)
+        for joined in (changes, bucketed.reopened(latest, stored(changes))):
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            # The operators from the join down to the scan of the stored versions.
+            lines = plan.splitlines()
+            scan = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+            join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+            depth = lambda line: len(line) - len(line.lstrip(" :+-*(0123456789)"))
+            above, at = [], depth(lines[scan])
+            for line in reversed(lines[join + 1 : scan]):
+                if depth(line) < at:
+                    above, at = [*above, line], depth(line)
+            assert not any("Exchange" in line for line in above), plan
+            assert plan.count("Exchange") >= 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sorted((r["new"]["id"], r["old"] is None) for r in changes.collect()) == [("k1", False), ("new", True)]
+
+
+def test_bucketed_history_survives_unfinished_rounds(spark, bucketed):
+    save_table(state(spark, ("z", "gold", 9)), bucketed.open)
+    bucketed.apply(state(spark, ("a", "bronze", 1), ("b", "bronze", 1)))
+    spark.table(bucketed.open).withColumn("round", F.lit(2)).write.insertInto(bucketed.open)
+    spark.table(bucketed.open).drop("bucket").withColumn("round", F.lit(2)).write.insertInto(bucketed.store)
+    assert plain(bucketed.read()) == [("a", "bronze", 1, None), ("b", "bronze", 1, None)]
+    assert plain(bucketed.apply(state(spark, ("a", "gold", 2)))) == [
+        ("a", "bronze", 1, 2), ("a", "gold", 2, None), ("b", "bronze", 1, None),
+    ]
+    spark.sql(f"DROP VIEW {bucketed.view}")
+    assert bucketed.read().count() == 3
+    with pytest.raises(Exception, match="not unique"):
+        bucketed.apply(state(spark, ("a", "x", 5), ("a", "y", 6)))
+    assert bucketed.read().count() == 3
+
+
+def test_bucketed_columns_go_by_name(spark, bucketed):
+    bucketed.apply(state(spark, ("a", "bronze", 1), ("b", "gold", 1)))
+    later = state(spark, ("a", "silver", 2))
+    turned = later.select(F.lit(7).alias("extra"), *reversed(later.columns))
+    history = {tuple(r) for r in bucketed.apply(turned).select("id", "tier", "extra").collect()}
+    assert history == {("a", "bronze", None), ("a", "silver", 7), ("b", "gold", None)}
+    with pytest.raises(ValueError, match="extra"):
+        bucketed.apply(later)
