@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from cartloom.functions.dates import days_between
-from cartloom.functions.keys import surrogate_key
+from cartloom.functions.keys import NULL_PART, surrogate_key
 from cartloom.functions.numbers import exact_avg, from_cents, to_cents
 from cartloom.functions.tiers import better_tier, classify_tier
 from cartloom.operators.joins import with_known_key
@@ -45,6 +45,19 @@ def customer_landing(
     )
 
 
+# The same as a query, for a view.
+LANDING_SQL = f"""
+SELECT customer_id, first_order_timestamp, landing_date,
+       md5(concat_ws('-', CAST(customer_id AS STRING), coalesce(CAST(landing_date AS STRING), '{NULL_PART}'))) AS customer_unique_key
+FROM (
+    SELECT customer_id, first_order_timestamp, CAST(first_order_timestamp AS DATE) AS landing_date
+    FROM (
+        SELECT customer_id, min(order_purchase_timestamp) AS first_order_timestamp
+        FROM {{stg_orders}} WHERE order_status NOT IN {{excluded}} GROUP BY customer_id)
+    WHERE customer_id IN (SELECT DISTINCT customer_id FROM {{stg_customers}}))
+"""
+
+
 def paid_orders(
     orders: DataFrame, payments: DataFrame, excluded: Sequence[str] = EXCLUDED_STATUSES
 ) -> DataFrame:

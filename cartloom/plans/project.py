@@ -9,12 +9,15 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartloom.operators.quality import Check, enforce, quality_report
+from cartloom.operators.quality import Check, enforce, known_failures, measures, quality_report
 from cartloom.plans import customers, sellers, staging
 from cartloom.session import configure
 from cartloom.sources.history import BucketedHistoryTable, HistoryTable
 from cartloom.sources.seeds import seed_cities
-from cartloom.sources.tables import catalog_summary, create_namespace, drop_built, drop_table, quote, save_table
+from cartloom.sources.tables import (
+    DOCS_SCHEMA, MODEL, TAGS, catalog_docs, catalog_summary, create_namespace, drop_built, drop_table, literal, measured, quote,
+    save_table, save_view,
+)
 
 # Accepted order statuses and states of the data tests.
 STATUSES = ("delivered", "shipped", "processing", "canceled", "invoiced", "approved", "created")
@@ -30,9 +33,13 @@ SEED = "brazil_cities"
 
 @dataclass(frozen=True)
 class Model:
-    """A model, the tables its function takes in order, and what is declared about it."""
+    """A model, the tables its function takes in order, and what is declared about it.
+
+    A model may be a query in place of a function: ``sql`` names its tables and variables in braces, ``defaults`` has the
+    variables. As a view it is stored in the catalog, for every session; a function as a view lasts as long as its session.
+    """
 
-    build: Callable[..., DataFrame]
+    build: Callable[..., DataFrame] | None = None
     sources: Sequence[str] = ()
     refs: Sequence[str] = ()
     materialized: str = "view"
@@ -42,6 +49,12 @@ class Model:
     checks: Sequence[Check] = ()
     bucket_by: str | None = None
     cluster_by: Sequence[str] = ()
+    sql: str = ""
+    defaults: Mapping[str, object] = field(default_factory=dict)
+
+    @property
+    def variables(self) -> set[str]:
+        return set(inspect.signature(self.build).parameters) if self.build else set(self.defaults)
 
 
 # In dependency order.
@@ -127,6 +140,16 @@ MODELS: dict[str, Model] = {
     ),
 }
 
+# The landing dates as a view that every session sees.
+LANDING_VIEW = Model(
+    refs=["stg_orders", "stg_customers"],
+    materialized="view",
+    description="First sale of every known customer",
+    columns={"customer_id": "Key of the customer", "landing_date": "Day of the first sale"},
+    sql=customers.LANDING_SQL,
+    defaults={"excluded": staging.EXCLUDED_STATUSES},
+)
+
 
 class Project:
     """Runs the models in one database.
@@ -160,12 +183,21 @@ class Project:
 
     def source(self, name: str) -> DataFrame:
         """A raw table."""
+        given = self.sources.get(name)
+        return given if isinstance(given, DataFrame) else self.spark.table(self._source_name(name))
+
+    def _source_name(self, name: str) -> str:
         given = self.sources.get(name)
         if isinstance(given, DataFrame):
-            return given
-        if given is None:
-            given = f"{quote(self.source_database)}.{quote(self.source_prefix + name)}"
-        return self.spark.table(given)
+            raise ValueError(f"a stored view needs {name!r} as a table, not as a DataFrame")
+        return given or f"{quote(self.source_database)}.{quote(self.source_prefix + name)}"
+
+    def _text(self, model: Model, given: Mapping[str, object], tables: Mapping[str, str], braces: bool = False) -> str:
+        """The query of a model with its tables and variables filled in; ``braces`` of values doubled to be filled in again."""
+        values = {k: sql_value(given.get(k, default)) for k, default in model.defaults.items()}
+        if braces:
+            values = {k: v.replace("{", "{{").replace("}", "}}") for k, v in values.items()}
+        return model.sql.format(**values, **tables)
 
     def ref(self, name: str) -> DataFrame:
         """A built model, seed or snapshot."""
@@ -190,10 +222,14 @@ class Project:
         """A model over its built inputs, not yet executed."""
         self._check_variables(variables)
         model = self.models[name]
-        inputs = [self.source(s) for s in model.sources] + [self.ref(r) for r in model.refs]
-        given = {**self.variables, **(variables or {})}
-        accepted = inspect.signature(model.build).parameters
-        df = model.build(*inputs, **{k: v for k, v in given.items() if k in accepted})
+        inputs = {s: self.source(s) for s in model.sources} | {r: self.ref(r) for r in model.refs}
+        given = {k: v for k, v in {**self.variables, **(variables or {})}.items() if k in model.variables}
+        if model.build is None:
+            # The inputs go in by name, as DataFrames.
+            text = self._text(model, given, {n: "{" + n + "}" for n in inputs}, braces=True)
+            df = self.spark.sql(text, **inputs)
+        else:
+            df = model.build(*inputs.values(), **given)
         for column, text in model.columns.items():
             df = df.withMetadata(column, {"comment": text})
         return df
@@ -204,11 +240,19 @@ class Project:
         """Build the selected models and return their names."""
         names = self.selected(select)
         for name in names:
-            model, df = self.models[name], self.dataframe(name, variables)
-            if model.materialized == "view":
-                df.createOrReplaceTempView(name)
+            model, stored = self.models[name], {MODEL: name, TAGS: ",".join(self.models[name].tags)}
+            if model.materialized == "view" and model.sql:
+                self._check_variables(variables)
+                tables = {s: self._source_name(s) for s in model.sources} | {r: self._table(r) for r in model.refs}
+                text = self._text(model, {**self.variables, **(variables or {})}, tables)
+                save_view(self.spark, text, self._table(name), model.columns, model.description, stored)
+            elif model.materialized == "view":
+                self.dataframe(name, variables).createOrReplaceTempView(name)
             else:
-                save_table(df, self._table(name), model.bucket_by, self.buckets, model.cluster_by)
+                save_table(
+                    self.dataframe(name, variables), self._table(name), model.bucket_by, self.buckets, model.cluster_by,
+                    measures(model.checks), model.description, stored,
+                )
         return names
 
     def seed(self) -> None:
@@ -240,10 +284,17 @@ class Project:
         return history
 
     def test(self, select: Sequence[str] | None = None, raise_on_error: bool = True) -> DataFrame:
-        """Report of the data tests; a failed one of severity ``error`` raises."""
+        """Report of the data tests; a failed one of severity ``error`` raises.
+
+        Missing and unexpected values of tables were counted when they were written; the rest takes one pass a table.
+        """
         checks = {n: self.models[n].checks for n in self.selected(select) if self.models[n].checks}
         needed = set(checks) | {c.to for cs in checks.values() for c in cs if c.to}
-        report = quality_report({n: self.ref(n) for n in needed}, checks)
+        known = {}
+        for name in checks:
+            if self._is_stored(name):
+                known |= known_failures(name, checks[name], measured(self.spark, self._table(name)))
+        report = quality_report({n: self.ref(n) for n in needed}, checks, known)
         # One row per declared test; kept, so that reading the report runs no test again.
         report = self.spark.createDataFrame(report.collect(), report.schema)
         if raise_on_error:
@@ -251,19 +302,32 @@ class Project:
         return report
 
     def docs(self) -> DataFrame:
-        """(model, column, description, tags): one row per model and per documented column."""
+        """(model, column, description, tags): one row per model and per documented column.
+
+        As declared; ``stored_docs`` has what the catalog keeps with the tables, for every session.
+        """
         rows = []
         for name, model in self.models.items():
             rows.append((name, None, model.description, ",".join(model.tags)))
             rows += [(name, column, text, ",".join(model.tags)) for column, text in model.columns.items()]
-        return self.spark.createDataFrame(rows, "model string, column string, description string, tags string")
+        return self.spark.createDataFrame(rows, DOCS_SCHEMA)
+
+    def stored_docs(self) -> DataFrame:
+        return catalog_docs(self.spark, self.database)
 
     def clean(self) -> list[str]:
         """Drop everything the models built; raw tables and seeds stay."""
+        dropped = drop_built(self.spark, self.database)
         for name, model in self.models.items():
-            if model.materialized == "view":
+            if model.materialized != "view":
+                continue
+            if not model.sql:
                 self.spark.catalog.dropTempView(name)
-        return drop_built(self.spark, self.database)
+            elif self.spark.catalog.tableExists(self._table(name)):
+                # One whose name is none of the built ones.
+                self.spark.sql(f"DROP VIEW {self._table(name)}")
+                dropped.append(name)
+        return sorted(dropped)
 
     def summary(self) -> DataFrame:
         """Stored tables per layer, without the raw ones."""
@@ -280,7 +344,7 @@ class Project:
         return self.summary()
 
     def _check_variables(self, variables: Mapping[str, object] | None) -> None:
-        known = {p for m in self.models.values() for p in inspect.signature(m.build).parameters}
+        known = {p for m in self.models.values() for p in m.variables}
         unknown = {**self.variables, **(variables or {})}.keys() - known
         if unknown:
             raise ValueError(f"no model takes {', '.join(sorted(unknown))}")
@@ -290,6 +354,20 @@ class Project:
         return BucketedHistoryTable(*named, self.history_buckets) if self.history_buckets else HistoryTable(*named)
 
     def _table(self, name: str) -> str:
-        if name in self.models and self.models[name].materialized == "view":
-            return quote(name)
-        return f"{quote(self.database)}.{quote(name)}"
+        return f"{quote(self.database)}.{quote(name)}" if self._is_stored(name) else quote(name)
+
+    def _is_stored(self, name: str) -> bool:
+        return name not in self.models or self.models[name].materialized != "view" or bool(self.models[name].sql)
+
+
+def sql_value(value: object) -> str:
+    """A variable as it stands in a query; several values as a list in brackets."""
+    if isinstance(value, (list, tuple, set, frozenset)):
+        return "(" + ", ".join(map(sql_value, value)) + ")"
+    if value is None or isinstance(value, bool):
+        return "NULL" if value is None else str(value).upper()
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP_NTZ {literal(str(value))}"
+    if isinstance(value, dt.date):
+        return f"DATE {literal(str(value))}"
+    return str(value) if isinstance(value, (int, float)) else literal(str(value))

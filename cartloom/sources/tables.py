@@ -14,8 +14,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 BUILT_PREFIXES = ("stg_", "int_", "mart_", "snap_")
 LAYERS = (("stg_%", "Staging"), ("int_%", "Intermediate"), ("snap_%", "Snapshot"))
 OTHER_LAYER = "Other"
+DOCS_SCHEMA = "model string, column string, description string, tags string"
 # Ending of the folder that holds the versions of a table.
 VERSIONS = "__versions"
+# Start of the table properties that hold what was measured at the write.
+MEASURE = "cartloom.measure."
+# Table properties with the model of a table and its tags.
+MODEL, TAGS = "cartloom.model", "cartloom.tags"
 
 
 def quote(name: str) -> str:
@@ -85,21 +90,38 @@ def save_table(
     if not cluster_by and bucket_by is not None and buckets:
         writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     writer.saveAsTable(new)
-    _document(spark, new, description, properties or {})
-    _switch(spark, f"{quote(database)}.{quote(table)}", new, description, properties or {})
-    return observed.get if observed else {}
+    found = observed.get if observed else {}
+    # With its version, as the table may be at another one already when the property is set.
+    counted = {f"{MEASURE}{key}": f"{version}:{value}" for key, value in found.items()}
+    _switch(spark, f"{quote(database)}.{quote(table)}", new, description, {**(properties or {}), **counted})
+    return found
+
+
+def measured(spark: SparkSession, name: str) -> dict[str, str]:
+    """What ``save_table`` measured of the rows that the table shows now."""
+    layout = _layout(spark, name)
+    if layout is None or layout["Type"] == "VIEW":
+        return {}
+    version = layout["Location"].rsplit("/", 1)[1]
+    found = {k.removeprefix(MEASURE): v.split(":", 1) for k, v in table_properties(spark, name).items() if k.startswith(MEASURE)}
+    return {key: value for key, (of, value) in found.items() if of == version}
+
+
+def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
 
 
 def _switch(spark: SparkSession, name: str, new: str, description: str, properties: Mapping[str, str]) -> None:
     """Let ``name`` show the rows of the table ``new``, and remove versions that are past use."""
     old, made = _layout(spark, name), _layout(spark, new)
     if old is not None and old["Type"] == "EXTERNAL" and all(old[k] == made[k] for k in old.keys() - {"Location"}):
-        spark.sql(f"ALTER TABLE {name} SET LOCATION {_literal(made['Location'])}")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {literal(made['Location'])}")
         spark.sql(f"DROP TABLE {new}")
         _document(spark, name, description, properties)
     else:
+        _document(spark, new, description, properties)
         if old is not None:
-            spark.sql(f"DROP TABLE {name}")
+            spark.sql(f"DROP {'VIEW' if old['Type'] == 'VIEW' else 'TABLE'} {name}")
         spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
     spark.catalog.refreshTable(name)
     database, table = _parts(spark, name)
@@ -138,7 +160,8 @@ def _files(spark: SparkSession, folder: str):
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
-def _literal(text: str) -> str:
+def literal(text: str) -> str:
+    """A safely quoted text in SQL."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -153,12 +176,47 @@ def _layout(spark: SparkSession, name: str) -> dict[str, str] | None:
 
 def _document(spark: SparkSession, name: str, description: str, properties: Mapping[str, str]) -> None:
     if description:
-        spark.sql(f"COMMENT ON TABLE {name} IS {_literal(description)}")
+        spark.sql(f"COMMENT ON TABLE {name} IS {literal(description)}")
     if properties:
-        listed = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in properties.items())
+        listed = ", ".join(f"{literal(k)} = {literal(v)}" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({listed})")
 
 
+def save_view(
+    spark: SparkSession, text: str, name: str, columns: Mapping[str, str] | None = None, description: str = "",
+    properties: Mapping[str, str] | None = None,
+) -> None:
+    """Create or replace a view that every session sees, in one catalog call; ``columns`` are comments by column.
+
+    A table of that name goes first.
+    """
+    old = _layout(spark, name)
+    if old is not None and old["Type"] != "VIEW":
+        drop_table(spark, name)
+    comments = columns or {}
+    listed = ", ".join(quote(c) + (f" COMMENT {literal(comments[c])}" if c in comments else "") for c in spark.sql(text).columns)
+    comment = f" COMMENT {literal(description)}" if description else ""
+    pairs = ", ".join(f"{literal(k)} = {literal(v)}" for k, v in (properties or {}).items())
+    spark.sql(f"CREATE OR REPLACE VIEW {name} ({listed}){comment}{f' TBLPROPERTIES ({pairs})' if pairs else ''} AS {text}")
+
+
+def catalog_docs(spark: SparkSession, database: str) -> DataFrame:
+    """(model, column, description, tags) of the tables and views that models built, as the catalog tells them."""
+    rows = []
+    for table in spark.catalog.listTables(database):
+        if table.isTemporary:
+            continue
+        name = f"{quote(database)}.{quote(table.name)}"
+        properties = table_properties(spark, name)
+        if MODEL not in properties:
+            continue
+        tags = properties.get(TAGS, "")
+        rows.append((properties[MODEL], None, table.description or "", tags))
+        comments = ((f.name, f.metadata.get("comment")) for f in spark.table(name).schema.fields)
+        rows += [(properties[MODEL], column, text, tags) for column, text in comments if text]
+    return spark.createDataFrame(rows, DOCS_SCHEMA)
+
+
 def row_counts(spark: SparkSession, database: str, tables: Sequence[str]) -> DataFrame:
     """(table, row_count) for each table."""
     counts = [

@@ -7,8 +7,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from cartloom.operators.scd2 import scd2_apply, scd2_start
 from cartloom.plans import sellers
-from cartloom.plans.project import SNAPSHOT, Project
-from cartloom.session import shared_dir
+from cartloom.plans.project import LANDING_VIEW, MODELS, SNAPSHOT, Project
+from cartloom.session import configure, shared_dir
 from cartloom.sources.csv import ingest_directory, ingest_once, read_csv
 from cartloom.sources.history import BucketedHistoryTable, HistoryTable
 from cartloom.sources.seeds import read_seed
@@ -208,13 +208,16 @@ def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT customer_id, landing_date FROM (" + m.LANDING_SQL + ")")
 def view_materialization(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A model kept as a view and read by name."""
-    view = "cartloom_view_materialization"
-    landing = m.customers.customer_landing(
-        m.stg_orders_input(spark, sf_dir), t.known_customers(spark, sf_dir), t.EXCLUDED
-    )
-    landing.createOrReplaceTempView(view)
-    return spark.table(view).select("customer_id", "landing_date")
+    """A model kept as a view in the catalog, made in one session and read in another."""
+    database, location = new_database(spark, "view_materialization")
+    create_namespace(spark, database, location)
+    save_table(t.raw_orders(spark, sf_dir), f"{quote(database)}.raw_orders")
+    save_table(t.raw_customers(spark, sf_dir), f"{quote(database)}.raw_customers")
+    models = {n: MODELS[n] for n in ("stg_orders", "stg_customers")} | {"int_customer_landing": LANDING_VIEW}
+    made = Project(spark, database, source_prefix="raw_", variables={"excluded": t.EXCLUDED}, models=models, location=location)
+    made.run()
+    other = Project(configure(spark.newSession()), database, models=models, location=location)
+    return other.ref("int_customer_landing").select("customer_id", "landing_date")
 
 
 @query("SELECT 'raw_orders' AS \"table\", COUNT(*) AS row_count FROM orders")

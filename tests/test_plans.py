@@ -114,10 +114,11 @@ def test_landing_combines_before_it_shuffles(spark):
     assert side.count("Exchange") == 1
 
 
-def test_report_scans_once_for_all_column_tests(spark):
+def test_report_scans_each_table_once(spark):
     df = QUERIES["data_test_report"](spark, SF_DIR)
-    # orders: columns, unique, two children; customer and lineitem as parents; lineitem: columns, unique.
-    assert tree(df).count("Scan parquet") == 8
+    # orders, lineitem and customer, tested or referred to; one grouping of all entries, one of the tests.
+    assert tree(df).count("Scan parquet") == 3
+    assert plan(df).count("hashpartitioning(") == 2
 
 
 def test_bucketed_tables_join_without_a_shuffle(spark):

@@ -2,12 +2,17 @@ import dataclasses
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
+from cartloom import configure
 from cartloom.__main__ import main
-from cartloom.operators.quality import DataTestError
+from cartloom.operators import quality_report
+from cartloom.operators.quality import DataTestError, known_failures
 from cartloom.plans import MODELS, Project
-from cartloom.plans.project import SEED, SNAPSHOT
+from cartloom.plans.project import LANDING_VIEW, SEED, SNAPSHOT, sql_value
+from cartloom.session import shared_dir
 from cartloom.sources import RAW_SCHEMAS
+from cartloom.sources.tables import measured
 from tests import shop
 from tests.compare import spark_rows
 
@@ -175,3 +180,82 @@ def test_summary_leaves_out_raw_tables_by_name(spark):
     project.run(["stg_orders"])
     assert {r["layer"]: r["table_count"] for r in project.summary().collect()} == {"Staging": 1}
     spark.sql(f"DROP DATABASE {DATABASE} CASCADE")
+
+
+def test_tests_read_what_the_write_counted(spark, project):
+    project.run(["tag:staging", "stg_order_payments"])
+    report = project.test(raise_on_error=False)
+    known = {}
+    for name in ("stg_orders", "stg_customers", "stg_order_payments"):
+        known |= known_failures(name, MODELS[name].checks, measured(spark, f"{DATABASE}.{name}"))
+    assert sum(c.kind == "not_null" for _, c in known) == 10
+    tables = {name: project.ref(name) for name in ("stg_orders", "stg_customers", "stg_order_payments")}
+    counted = quality_report(tables, {name: MODELS[name].checks for name in tables})
+    assert spark_rows(report) == spark_rows(counted)
+    # Rows that came by another way were not counted.
+    spark.sql(f"ALTER TABLE {DATABASE}.stg_orders SET LOCATION '{measured_elsewhere(spark)}'")
+    assert measured(spark, f"{DATABASE}.stg_orders") == {}
+
+
+def measured_elsewhere(spark):
+    return shared_dir(spark)
+
+
+def test_view_of_a_query_is_there_for_other_sessions(spark):
+    raw = shop.raw_tables(spark)
+    models = {**MODELS, "int_customer_landing": LANDING_VIEW}
+    project = Project(spark, DATABASE, sources=raw, models=models)
+    project.run(["tag:staging", "int_customer_landing"])
+    plain = Project(spark, DATABASE + "_plain", sources=raw)
+    plain.run(["tag:staging", "int_customer_landing"])
+    expected = spark_rows(plain.ref("int_customer_landing"))
+    other = configure(spark.newSession())
+    assert spark_rows(Project(other, DATABASE, models=models).ref("int_customer_landing")) == expected
+    # As a table, and with a variable.
+    as_table = {**models, "int_customer_landing": dataclasses.replace(LANDING_VIEW, materialized="table")}
+    project.models = as_table
+    project.run(["int_customer_landing"])
+    assert spark_rows(project.ref("int_customer_landing")) == expected
+    project.models = models
+    project.run(["int_customer_landing"], {"excluded": ("delivered", "odd {braces} 'quoted'")})
+    plain.run(["int_customer_landing"], {"excluded": ("delivered", "odd {braces} 'quoted'")})
+    assert spark_rows(project.ref("int_customer_landing")) == spark_rows(plain.ref("int_customer_landing")) != expected
+    assert "int_customer_landing" in project.clean()
+    assert not spark.catalog.tableExists(f"{DATABASE}.int_customer_landing")
+    with pytest.raises(ValueError, match="as a table"):
+        bad = dataclasses.replace(LANDING_VIEW, refs=["stg_customers"], sources=["orders"], sql="SELECT * FROM {orders}")
+        Project(spark, DATABASE, sources=raw, models={"v": bad}).run()
+    for name in (DATABASE, DATABASE + "_plain"):
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def test_docs_in_the_catalog(spark, project):
+    models = {**MODELS, "int_customer_landing": LANDING_VIEW}
+    project.models = models
+    project.run(["tag:staging", "stg_order_payments", "int_customer_landing"])
+    built = ("stg_orders", "stg_customers", "stg_order_payments", "int_customer_landing")
+    declared = project.docs().where(F.col("model").isin(*built))
+    other = Project(configure(spark.newSession()), DATABASE, models={})
+    assert spark_rows(other.stored_docs()) == spark_rows(declared)
+    # A new description comes with the next build.
+    project.models = {**models, "stg_customers": dataclasses.replace(MODELS["stg_customers"], description="Who's \\ there", tags=["x"])}
+    project.run(["stg_customers"])
+    row = project.stored_docs().where("model = 'stg_customers' AND column IS NULL").first()
+    assert (row["description"], row["tags"]) == ("Who's \\ there", "x")
+
+
+def test_values_in_queries():
+    assert sql_value(("a", "it's")) == "('a', 'it\\'s')"
+    assert [sql_value(v) for v in (None, True, 1, 0.5)] == ["NULL", "TRUE", "1", "0.5"]
+    assert sql_value(dt.date(2020, 1, 2)) == "DATE '2020-01-02'"
+    assert sql_value(dt.datetime(2020, 1, 2, 3)) == "TIMESTAMP_NTZ '2020-01-02 03:00:00'"
+
+
+def test_history_in_buckets(spark, project):
+    project.reset(ROUNDS)
+    plain = spark_rows(project.ref(SNAPSHOT))
+    project.clean()
+    project.history_buckets = 4
+    project.reset(ROUNDS)
+    assert spark_rows(project.ref(SNAPSHOT)) == plain
+    assert {SNAPSHOT, SNAPSHOT + "_versions", SNAPSHOT + "_open"} <= set(project.clean())

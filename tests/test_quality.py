@@ -1,7 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
 from cartloom.operators import Check, enforce, failing_rows, quality_report
-from cartloom.operators.quality import DataTestError
+from cartloom.operators.quality import DataTestError, known_failures, measures
 from cartloom.plans import stg_customers, stg_order_payments, stg_orders
 from cartloom.plans.project import MODELS
 from tests import shop
@@ -96,3 +97,52 @@ def test_declared_tests(spark):
         ("stg_customers", "customer_state", "accepted_values"): (1, "warn"),
         ("stg_order_payments", "order_id", "relationships"): (1, "warn"),
     }
+
+
+def by_failing_rows(tables, checks):
+    """Failures of each test from the rows that it complains about, test by test."""
+    found = []
+    for model, model_checks in checks.items():
+        for check in model_checks:
+            rows = failing_rows(check, model, tables)
+            n = sum(r["n_rows"] for r in rows.collect()) if check.kind == "relationships" else rows.count()
+            found.append((model, check.column, check.kind, n))
+    return sorted(found)
+
+
+def reported(report):
+    return sorted((r["model"], r["column"], r["test"], r["failures"]) for r in report.collect())
+
+
+def test_report_on_all_types(spark):
+    rows = spark.range(60).selectExpr(
+        "id", "CAST(id % 7 AS TINYINT) AS small", "CAST(id % 5 AS STRING) AS word", "CAST(id % 9 AS DECIMAL(9,3)) AS money",
+        "IF(id % 2 = 0, 0.0D, -0.0D) AS zero", "IF(id < 2, CAST('NaN' AS FLOAT), CAST(id AS FLOAT)) AS real",
+        "CAST(id % 4 AS STRING) = '1' AS flag", "date_add(date'2020-01-01', CAST(id AS INT) % 8) AS day",
+        "CAST(date_add(date'2020-01-01', CAST(id AS INT)) AS TIMESTAMP_NTZ) AS at", "unhex(lpad(hex(id + 200), 4, '0')) AS bytes",
+        "array(CAST(id % 3 AS STRING), 'x, y') AS list", "named_struct('a', id % 6) AS pair", "IF(id % 6 = 0, NULL, id) AS gaps",
+    )
+    tables = {"rows": rows, "other": rows.where("id % 10 < 5").select(F.col("small").cast("bigint").alias("b"), "word", "money", "day", F.col("id").cast("double").alias("d"))}
+    checks = [Check(c, "unique") for c in rows.columns] + [Check(c, "not_null") for c in rows.columns]
+    checks += [
+        Check("small", "relationships", to="other", field="b"), Check("id", "relationships", to="other", field="d"),
+        Check("money", "relationships", to="other", field="money"), Check("day", "relationships", to="other", field="day"),
+        Check("word", "accepted_values", values=("1", "2")), Check("small", "accepted_values", values=(1, 2, 3)),
+        Check("gaps", "relationships", to="rows", field="id"), Check("id", "relationships", to="rows", field="gaps"),
+    ]
+    every = {"rows": checks, "other": [Check("d", "unique")]}
+    assert reported(quality_report(tables, every)) == by_failing_rows(tables, every)
+
+
+def test_known_failures_are_not_counted_again(spark, tables):
+    columns = measures(CHECKS)
+    measured = tables["child"].agg(*[c.alias(n) for n, c in columns.items()]).first().asDict()
+    known = known_failures("child", CHECKS, measured)
+    # Different unexpected values are only known where there is none.
+    assert known == {("child", CHECKS[1]): 2, ("child", CHECKS[2]): 1, ("child", CHECKS[5]): 0}
+    both = [reported(quality_report(tables, {"child": CHECKS}, k)) for k in (None, known)]
+    assert both[0] == both[1]
+    only = [CHECKS[1], CHECKS[2]]
+    report = quality_report(tables, {"child": only}, known)
+    assert report.count() == 2
+    assert "Scan ExistingRDD[id" not in report._jdf.queryExecution().executedPlan().toString()
