@@ -91,7 +91,7 @@ def quality_report(
             field = F.col(check.field)
             entries.setdefault(check.to, []).append(_entry(field.isNotNull(), number, field.cast(kind), kind, parent=True))
     typed = {model: [e(tables[model]) for e in made] for model, made in entries.items()}
-    parts = [tables[model].select(F.inline(F.array_compact(F.array(*made)))) for model, made in typed.items()]
+    parts = [tables[model].select(F.inline(F.array(*made))).where("number IS NOT NULL") for model, made in typed.items()]
     session = next(iter(tables.values())).sparkSession
     rows = [(i, model, c.column, c.kind, c.severity, known.get((model, c))) for i, (model, c) in enumerate(tests)]
     report = session.createDataFrame(rows, "number int, model string, column string, test string, severity string, known bigint")
