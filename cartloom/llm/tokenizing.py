@@ -22,8 +22,9 @@ ENTANGLED_SPACE = re.compile(r"\s (?:\s|\Z)")
 # white space but spaces and line ends) are cut at spaces only.
 UNUSUAL = re.compile("[^ -~\n¡-įı-ɏ‐-‧]")
 PLAIN_WORDS = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ \n]*")
-# A single sign behind a letter, at the end of a word: both vocabularies part the two.
-WORD_END = re.compile("([.,;:!?])(?<=[A-Za-zÀ-ÖØ-öø-įı-ɏ][.,;:!?])(?![^ \n])")
+# Signs behind a letter, up to the end of a word: both vocabularies part the two. Without those of contractions and special tokens.
+SIGNS = r"[!\"#$%&()*+,\-./:;=?@\[\]^_`{}~]"
+WORD_END = re.compile(f"({SIGNS})(?<=[A-Za-zÀ-ÖØ-öø-įı-ɏ]{SIGNS})({SIGNS}*)(?![^ \n])")
 # Marks a piece that no space goes before.
 BARE = "\x01"
 # New words that are encoded as one text.
@@ -74,7 +75,7 @@ class TextEncoder:
     def _words(self, text: str) -> list[str]:
         """Pieces of a text whose white space counts for nothing."""
         if UNUSUAL.search(text) is None:
-            text = WORD_END.sub(r" \1", text.lower())
+            text = WORD_END.sub(r" \1\2", text.lower())
         return text.replace("\n", " ").split(" ")
 
     def _pieces(self, text: str) -> list[str] | None:
@@ -82,7 +83,7 @@ class TextEncoder:
         if BARE in text or ENTANGLED_SPACE.search(text):
             return None
         if UNUSUAL.search(text) is None:
-            text = WORD_END.sub(f" {BARE}\\1", text)
+            text = WORD_END.sub(f" {BARE}\\1\\2", text)
             if "\n\n" not in text and " \n" not in text and "\n " not in text and not text.endswith("\n"):
                 text = text.replace("\n", f" {BARE}\n {BARE}")
         split = text.split(" ")
