@@ -57,6 +57,8 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", least=18, long_pattern=r"AKIA[A-Z0-9]{14,}"),
     Rule("hex", r"[0-9a-f]+", least=16, long_pattern=r"[0-9a-f]{16,}"),
 )
+# Whatever may start anywhere in a long run of its own characters has a bound, so that no text takes more than linear time:
+# schemes have up to 31 characters (the match starts so far before ://), the first part of a token up to 515, key kinds four words.
 ADDED_RULES = (
     Rule("session", r"ASIA[A-Z0-9]{16}"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
@@ -64,10 +66,10 @@ ADDED_RULES = (
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", r"[rs]k_(?:live|test)_[A-Za-z0-9]{16,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,512}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("private_key", r"-----BEGIN (?:[A-Z]+ ){0,4}PRIVATE KEY-----"),
     Rule("bearer", r"bearer\x20+[A-Za-z0-9+/_.=-]{20,}", any_case=True),
-    Rule("url_login", r"[a-z][a-z0-9+.-]*://[^\s/:@]+:[^\s/:@]+@"),
+    Rule("url_login", r"[a-z][a-z0-9+.-]{0,30}://[^\s/:@]+:[^\s/:@]+@"),
 )
 RULES = BASE_RULES + ADDED_RULES
 

@@ -8,8 +8,9 @@ The query set meets all rows in a grid: hash blocks of queries against hash grou
 size in one task; each gives at most k rows a query, of which the last step keeps k.
 
 Defined cases: vectors that are null or hold null or non-finite components take no part, nor do empty ones; vectors
-of different dimensions never meet; a query never meets rows of its own ``vec_id``; repeated query rows count once,
-repeated candidates each; equal scores go to the smaller ``vec_id``; extra columns are ignored. Inner products
+of different dimensions never meet, nor do rows whose ``vec_id`` is null, as queries or candidates; a query never meets rows
+of its own ``vec_id``; repeated query rows count once, query rows of one ``vec_id`` with different vectors are one query whose
+neighbours are ranked together; repeated candidates count each; equal scores go to the smaller ``vec_id``; extra columns are ignored. Inner products
 must stay within 64 bits.
 """
 
@@ -95,7 +96,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
 
     ``vectors``: vec_id and v, whole numbers as ``whole_numbers`` gives them.
     """
-    rows = stored(vectors.withColumn("d", F.size("v")), "vectors")
+    rows = stored(vectors.filter("vec_id IS NOT NULL").withColumn("d", F.size("v")), "vectors")
     queries = rows.filter(is_query).dropDuplicates(["vec_id", "v"])
     n, m = rows.count(), queries.count()
     spread = min(rows.sparkSession.sparkContext.defaultParallelism, -(-n // LEAST_CELL_VECTORS))

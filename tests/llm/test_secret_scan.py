@@ -1,4 +1,5 @@
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -79,3 +80,27 @@ def test_redaction(spark):
 
 def test_empty_table(spark):
     assert secret_scan.scan(documents(prepared(spark), [])).count() == 0
+
+
+def test_long_runs_take_linear_time(spark):
+    """A megabyte of what may start a match anywhere, for every rule."""
+    n = 1_000_000
+    starts = ["x://" + "a" * n, "a" * n + "://", "eyJ" * (n // 3) + ".", "eyJ.eyJ" * (n // 7), "-----BEGIN " + "A " * (n // 2)]
+    starts += ["AKIA" * 3 + "a" * n, "password" + " " * n, "bearer" + " " * n, "token" * (n // 5), "secret=" * (n // 7), "a:" * (n // 2)]
+    starts += [f"{s}_" * (n // 4) for s in ("ghp", "sk_live", "AIza")] + ["glpat-" * 2 + "_" * n + " ", "xoxb-" + "é" * n, "://" * (n // 3)]
+    docs = documents(prepared(spark), list(enumerate(starts)))
+    begun = time.perf_counter()
+    found = {r["doc_id"]: r["secret_spans"] for r in secret_scan.scan(docs).select("doc_id", "secret_spans").collect()}
+    assert time.perf_counter() - begun < 120
+    assert [{s["kind"] for s in found[i]} for i in (0, 1, 4)] == [{"hex"}, {"hex"}, set()]
+
+
+def test_bounded_starts_still_match(spark):
+    long_scheme = "s" * 40 + "://me:pw@host"
+    token = "eyJ" + "a" * 500 + ".eyJ" + "b" * 5000 + "." + "c" * 40
+    texts = ["git+ssh://me:pw@host", long_scheme, token, "-----BEGIN ENCRYPTED RSA PRIVATE KEY-----"]
+    found = secret_scan.scan(documents(prepared(spark), list(enumerate(texts)))).collect()
+    spans = {r["doc_id"]: {(s["kind"], s["start"]) for s in r["secret_spans"]} for r in found}
+    assert ("url_login", 0) in spans[0]
+    assert ("url_login", 40 - 31) in spans[1]  # the last 31 characters of a scheme
+    assert ("jwt", 0) in spans[2] and ("private_key", 0) in spans[3]

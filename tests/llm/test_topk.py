@@ -47,6 +47,14 @@ def test_repeated_and_few_rows(spark):
     assert rows(found) == [(0, 1, 1, 1 << 20), (0, 2, 1, 1 << 20)]
 
 
+def test_rows_without_an_id_take_no_part_and_large_ids_stay_exact(spark):
+    large = 2**53 + 1
+    data = [(None, [9.0, 9.0], 0), (None, None, 0), (large, [1.0, 0.0], 0), (large + 1, [1.0, 1.0], 0), (7, [2.0, 0.0], 0)]
+    found = topk.top_k(topk.whole_numbers(frame(spark, data)), F.lit(True))
+    kept = [r for r in data if r[0] is not None]
+    assert rows(found) == brute_force(kept, 10, lambda q: True)
+
+
 def test_empty_table(spark):
     assert topk.top_k(topk.whole_numbers(frame(spark, [])), F.col("vec_id") == 0).count() == 0
 
