@@ -6,7 +6,9 @@ blocks of one parent are joined by edges that weigh more the closer they are in
 parts content from boilerplate: labels follow the classifier except where closeness outweighs it.
 
 Defined cases: a null or empty page, and one without content, gives an empty text; pages of any length are read whole;
-unclosed, crossed and cut-off markup is read as far as it goes; repeated rows and extra columns do no harm.
+unclosed, crossed and cut-off markup is read as far as it goes, however deeply elements are nested; formulas and bylines
+inside the main part are part of it, tables of contents, lists of tags and tooltips are menus and notices, what is for browsers
+without scripts is markup; repeated rows and extra columns do no harm.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ BLOCK_TAGS = frozenset(
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Their text is never shown or never prose.
 SILENT_TAGS = frozenset(
-    "head script style noscript template svg math iframe object canvas audio video button select option textarea input "
+    "head script style noscript template svg iframe object canvas audio video button select option textarea input "
     "datalist label title".split()
 )
 # An opening tag of the first kind ends an open element of the second.
@@ -47,7 +49,7 @@ MAIN_TAGS = frozenset(["article", "main"])
 SIDE_TAGS = frozenset(["nav", "footer", "aside", "form", "menu", "dialog"])
 MAIN_NAMES = frozenset("article articlebody body content entry main maincontent post story text".split())
 SIDE_NAMES = frozenset(
-    "ad ads adsense advert advertisement advertising alert alerts banner breadcrumb breadcrumbs byline comment comments "
+    "ad ads adsense advert advertisement advertising alert alerts banner breadcrumb breadcrumbs comment comments "
     "consent cookie cookies copyright disqus dropdown footer gdpr login masthead menu menubar modal nav navbar navigation "
     "newsletter notice notices notification outbrain overlay pager pagination popup promo promotion related recommended "
     "recommendations replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe "
@@ -73,6 +75,8 @@ class Element:
     depth: int
     kind: int = 0  # of the nearest ancestor that tells: 1 main, -1 side, 0 none
     silent: bool = False
+    sided: bool = False  # itself or an ancestor is a side part of its own
+    block: Element | None = None  # the nearest block element, itself included
 
 
 @dataclass
@@ -103,27 +107,21 @@ def kind_of(tag: str, attributes: dict[str, str | None], parent: Element) -> int
     if HIDDEN_STYLE.search(attributes.get("style") or ""):
         return -1
     # The main part may lie in a container with a misleading name, but not inside another side part of its own.
-    if tag in MAIN_TAGS and not in_side(parent):
+    if tag in MAIN_TAGS and not parent.sided:
         return 1
     if names & MAIN_NAMES and parent.kind == 0:
         return 1
     return parent.kind
 
 
-def in_side(element: Element | None) -> bool:
-    while element is not None:
-        if element.tag in SIDE_TAGS or element.kind < 0 and element.parent is not None and element.parent.kind > 0:
-            return True
-        element = element.parent
-    return False
-
-
 class BlockReader(HTMLParser):
     """Cuts a page into blocks: runs of text not parted by a block element."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.at = Element("", None, 0)
+        self.at.block = self.at
+        self.by_tag: dict[str, list[Element]] = {}  # open elements, the innermost last
         self.links = 0
         self.blocks: list[Block] = []
         self.open: Block | None = None
@@ -142,6 +140,9 @@ class BlockReader(HTMLParser):
         parent = self.at
         self.at = Element(tag, parent, parent.depth + 1, 0, parent.silent or tag in SILENT_TAGS)
         self.at.kind = kind_of(tag, dict(attrs), parent)
+        self.at.sided = parent.sided or tag in SIDE_TAGS or self.at.kind < 0 < parent.kind
+        self.at.block = self.at if tag in BLOCK_TAGS else parent.block
+        self.by_tag.setdefault(tag, []).append(self.at)
         self.links += tag == "a"
 
     def handle_endtag(self, tag: str) -> None:
@@ -151,15 +152,14 @@ class BlockReader(HTMLParser):
 
     def close_until(self, tag: str, stops: set[str] | frozenset[str]) -> None:
         """Close the nearest open ``tag`` and what is open inside it, unless one of ``stops`` lies between."""
-        element = self.at
-        while element.parent is not None and element.tag != tag:
-            if element.tag in stops:
-                return
-            element = element.parent
-        if element.parent is None:
+        if not self.by_tag.get(tag):
+            return
+        element = self.by_tag[tag][-1]
+        if any(self.by_tag[s][-1].depth > element.depth for s in stops if self.by_tag.get(s)):
             return
         while self.at is not element.parent:
             self.links -= self.at.tag == "a"
+            self.by_tag[self.at.tag].pop()
             self.at = self.at.parent
 
     def handle_data(self, data: str) -> None:
@@ -172,10 +172,7 @@ class BlockReader(HTMLParser):
         if self.open is None:
             if not data.strip():
                 return
-            element = self.at
-            while element.parent is not None and element.tag not in BLOCK_TAGS:
-                element = element.parent
-            self.open = Block(element)
+            self.open = Block(self.at.block)
             self.blocks.append(self.open)
         self.open.pieces.append(data)
         if self.links:

@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 
 from cartloom.llm import extraction
 from cartloom.llm.shared import prepared
@@ -78,3 +79,21 @@ def test_rows(spark):
 
 def test_many_blocks():
     assert len(extraction.main_blocks(page("<article>" + "<p>One more. </p>" * 20_000 + "</article>"))) == 20_000
+
+
+def test_formulas_and_bylines_stay():
+    formula = "<math><mi>x</mi><mo>=</mo><mn>3</mn></math>"
+    body = f"<article><h1>Head</h1><p class=byline>By A. Writer</p><p>{PROSE} Let {formula} be the value.</p></article>"
+    assert extraction.main_blocks(page(body)) == ["Head", "By A. Writer", f"{PROSE} Let x=3 be the value."]
+
+
+def test_deep_nesting_takes_linear_time():
+    n = 100_000
+    pages = [
+        "<span>" * n + "x" + "</div>" * n, "<article>" + "<i>" * n + "</div>" * n + f"<p>{PROSE}</p></article>",
+        "<div>" * n + "x" + "</div>" * n, "<article>" * n + PROSE, "<p>" + "<b>a<br>" * n, "<nav>" + "<main>" * n + PROSE,
+    ]
+    start = time.perf_counter()
+    texts = [extraction.main_blocks(page(p)) for p in pages]
+    assert time.perf_counter() - start < 120
+    assert texts[1] == texts[3] == [PROSE]
