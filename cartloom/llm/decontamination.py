@@ -39,6 +39,12 @@ RARE_SHARE = 0.75
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SCORE = 0.5
 BLOCK_ITEMS, BLOCK_BYTES = 20_000, 16 << 20
+# A seed of more items than that leads only to those whose words are about.
+FEW_ITEMS = 16
+# Items whose lengths differ by no more than the share that makes so many steps a doubling are looked at together.
+KINDS_A_DOUBLING = 2
+# Passages merged, and cells of alignments computed, at once.
+MERGED_AT_ONCE, CELLS_AT_ONCE = 1 << 18, 1 << 18
 
 WORD = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
 MAP_BITS = 20
@@ -90,9 +96,47 @@ class Items:
     first: np.ndarray  # whether it is one of the item's rarer seeds
     _map: np.ndarray | None = field(default=None, repr=False)
 
+    def __post_init__(self) -> None:
+        """Words of the items by number, and the items by the words that they have."""
+        self.length = np.array([len(w) for w in self.words], dtype=np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.length)])
+        flat = np.concatenate([np.zeros(0, np.uint64), *self.words])
+        self.vocabulary, number = np.unique(flat, return_inverse=True)
+        self.number = number.astype(np.int32)
+        # Items of about one length are of one kind.
+        self.kind = (KINDS_A_DOUBLING * np.log2(np.maximum(self.length, 1))).astype(np.int64)
+        owner = np.repeat(np.arange(len(self.words)), self.length)
+        keys = self.kind[owner] * len(self.vocabulary) + self.number
+        order = np.argsort(keys, kind="stable")
+        self.kind_word, self.kind_item = keys[order], owner[order]
+
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_map": None}
 
+    def numbers(self, words: np.ndarray) -> np.ndarray:
+        """The number of each word of a text among the items' words; -1 for those that no item has."""
+        if not len(self.vocabulary):
+            return np.full(len(words), -1)
+        at = np.minimum(np.searchsorted(self.vocabulary, words), len(self.vocabulary) - 1)
+        return np.where(self.vocabulary[at] == words, at, -1)
+
+    def alike(self, seeds: np.ndarray) -> list[np.ndarray]:
+        """``seeds`` (rows) by the kind of their item."""
+        kinds = self.kind[self.item[seeds]]
+        return [seeds[kinds == k] for k in np.unique(kinds)]
+
+    def reaching(self, seeds: np.ndarray, p: int, numbers: np.ndarray) -> np.ndarray:
+        """Those of ``seeds`` (of items of one kind) with an item that has each second word in the passages around ``p``."""
+        item, place = self.item[seeds], self.place[seeds]
+        length = self.length[item]
+        room = length // 2 + 4
+        start, end = max(0, p - int((place + room).max())), p + int((length + room - place).max())
+        about = np.unique(numbers[start:end])
+        keys = self.kind[item[0]] * len(self.vocabulary) + about[about >= 0]
+        a, b = np.searchsorted(self.kind_word, keys), np.searchsorted(self.kind_word, keys, side="right")
+        held = np.concatenate([self.kind_item[x:y] for x, y in zip(a.tolist(), b.tolist())])
+        return seeds[np.bincount(held, minlength=len(self.words))[item] >= LEAST_SCORE * length]
+
     @classmethod
     def of(cls, rows: list[tuple]) -> Items:
         words = [hashes_of(text) for _, text in rows]
@@ -155,38 +199,127 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
     return best / (MATCH * len(item)), int(j), int(end)
 
 
+def best_scores(targets: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Raw score of the best local alignment of each target with its passage, and the word of the passage where it ends;
+    all pairs are aligned at once, row by row."""
+    # Words are numbered, so that what fills up the shorter ones equals nothing.
+    numbers = np.unique(np.concatenate([*targets, *passages]), return_inverse=True)[1]
+    lengths = [len(x) for x in (*targets, *passages)]
+    parts = np.split(numbers, np.cumsum(lengths)[:-1])
+    rows, width = max(lengths[: len(targets)]), max(lengths[len(targets) :])
+    own, other = np.full((len(targets), rows), -1, np.int32), np.full((len(targets), width), -2, np.int32)
+    for k in range(len(targets)):
+        own[k, : lengths[k]] = parts[k]
+        other[k, : len(passages[k])] = parts[len(targets) + k]
+    steps = np.arange(width + 1, dtype=np.int32) * -GAP
+    above = np.zeros((len(targets), width + 1), dtype=np.int32)
+    best, ends = np.zeros(len(targets), np.int32), np.zeros(len(targets), np.int64)
+    for i in range(rows):
+        row = np.zeros_like(above)
+        np.maximum(above[:, :-1] + np.where(other == own[:, i : i + 1], MATCH, MISMATCH), above[:, 1:] + GAP, out=row[:, 1:])
+        np.maximum(row, 0, out=row)
+        above = np.maximum.accumulate(row + steps, axis=1) - steps
+        at = above.argmax(axis=1)
+        top = above[np.arange(len(at)), at]
+        ends[top > best] = at[top > best]
+        np.maximum(best, top, out=best)
+    return best, ends
+
+
+def merged(spans: np.ndarray) -> np.ndarray:
+    """Columns item, start, end, rarer seed: those of an item that meet become one."""
+    order = np.lexsort((spans[1], spans[0]))
+    item, start, end, first = spans[:, order]
+    # Far enough apart that no item's end reaches the next item's start.
+    shift = item * (int(end.max()) + 2)
+    reach = np.maximum.accumulate(end + shift)
+    new = np.append(True, start[1:] + shift[1:] > reach[:-1])
+    at = np.flatnonzero(new)
+    last = np.append(at[1:], len(item)) - 1
+    return np.stack([item[at], start[at], reach[last] - shift[last], np.maximum.reduceat(first, at)])
+
+
+def passages(words: np.ndarray, items: Items) -> np.ndarray:
+    """Columns item, start, end, rarer seed: where ``words`` may hold a copy of an item.
+
+    A seed that many items have leads only to those that can reach the least score there: a match for each second word
+    of the item at least, counted by the words that are about.
+    """
+    hits = items.hits(words)
+    found = grams(words)[hits]
+    first, last = np.searchsorted(items.gram, found), np.searchsorted(items.gram, found, side="right")
+    numbers = items.numbers(words) if (last - first > FEW_ITEMS).any() else None
+    spans, held = [np.zeros((4, 0), dtype=np.int64)], 0
+    for p, a, b in zip(hits.tolist(), first.tolist(), last.tolist()):
+        k = np.arange(a, b)
+        if b - a > FEW_ITEMS:
+            k = np.concatenate([items.reaching(part, p, numbers) for part in items.alike(k)])
+        item = items.item[k]
+        length = items.length[item]
+        room = length // 2 + 4
+        start = p - items.place[k]
+        ends = np.minimum(len(words), start + length + room)
+        spans.append(np.stack([item, np.maximum(0, start - room), ends, items.first[k]]))
+        held += len(k)
+        if held > MERGED_AT_ONCE:
+            spans = [merged(np.concatenate(spans, axis=1))]
+            held = 0
+    together = np.concatenate(spans, axis=1)
+    return merged(together) if together.shape[1] else together
+
+
+def scored(words: np.ndarray, items: Items, spans: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Those of ``spans`` that reach the least score, their raw scores and the words where the alignments end, in parts."""
+    numbers = items.numbers(words)
+    seen = np.zeros(len(items.vocabulary) + 1, dtype=bool)
+    part: list[int] = []
+    rows = width = 0
+
+    def done() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        of = spans[:, part]
+        best, ends = best_scores([items.words[i] for i in of[0]], [words[a:b] for a, b in of[1:3].T])
+        real = best >= LEAST_SCORE * MATCH * items.length[of[0]]
+        return of[:, real], best[real], ends[real] + of[1][real]
+
+    # Pairs of about one size together.
+    for k in np.lexsort((spans[2] - spans[1], items.length[spans[0]])).tolist():
+        item, start, end = spans[:3, k].tolist()
+        own = items.number[items.starts[item] : items.starts[item + 1]]
+        seen[numbers[start:end]] = True
+        seen[-1] = False
+        matches = np.count_nonzero(seen[own])
+        seen[numbers[start:end]] = False
+        # No alignment matches more words than the passage has of the item's.
+        if matches < LEAST_SCORE * len(own):
+            continue
+        rows, width = max(rows, len(own)), max(width, end - start)
+        if part and (len(part) + 1) * width > CELLS_AT_ONCE:
+            yield done()
+            part, rows, width = [], len(own), end - start
+        part.append(k)
+    if part:
+        yield done()
+
+
 def copies_in(words: np.ndarray, items: Items) -> list[tuple[int, float, int, int]]:
     """(item, score, first word, end word) of the best copy of each item that a text of ``words`` holds."""
-    # Start, end and whether a rarer seed leads there.
-    windows: dict[int, list[list]] = {}
-    found = grams(words)
-    for p in items.hits(words):
-        a, b = np.searchsorted(items.gram, found[p]), np.searchsorted(items.gram, found[p], side="right")
-        for k in range(a, b):
-            item, place = int(items.item[k]), int(items.place[k])
-            length = len(items.words[item])
-            room = length // 2 + 4
-            start, end = max(0, int(p) - place - room), min(len(words), int(p) - place + length + room)
-            mine = windows.setdefault(item, [])
-            if mine and start <= mine[-1][1]:
-                last = mine[-1]
-                last[:] = min(start, last[0]), max(end, last[1]), last[2] or bool(items.first[k])
-            else:
-                mine.append([start, end, bool(items.first[k])])
-    out = []
-    for item, spans in windows.items():
-        target, best = items.words[item], (0.0, 0, 0)
-        for start, end, _ in sorted(spans, key=lambda span: not span[2]):
-            passage = words[start:end]
-            # No alignment matches more words than the passage has of the item's.
-            if np.isin(target, passage).sum() < max(LEAST_SCORE, best[0]) * len(target):
+    best: dict[int, tuple[int, int, int]] = {}
+    for spans, scores, ends in scored(words, items, passages(words, items)):
+        for item, score, end in zip(spans[0].tolist(), scores.tolist(), ends.tolist()):
+            if score < best.get(item, (0,))[0]:
                 continue
-            score, a, b = align(target, passage)
-            if b and (score, -start - a) > (best[0], -best[1]):
-                best = (score, start + a, start + b)
-        if best[0] >= LEAST_SCORE:
-            out.append((item, *best))
-    return out
+            # An alignment that is worth something covers at most as many words more as it matches, twice over.
+            start = max(0, end - 3 * len(items.words[item]))
+            _, a, b = align(items.words[item], words[start:end])
+            best[item] = max(best.get(item, (0, 0, 0)), (score, -start - a, start + b))
+    return [(i, score / (MATCH * len(items.words[i])), -a, b) for i, (score, a, b) in sorted(best.items())]
+
+
+def holds_copy(words: np.ndarray, items: Items) -> bool:
+    """Whether a text of ``words`` holds a copy of any item; the passages that rarer seeds lead to come first."""
+    spans = passages(words, items)
+    parts = (spans[:, spans[3] > 0], spans[:, spans[3] == 0])
+    return any(len(scores) for part in parts for _, scores, _ in scored(words, items, part))
 
 
 def seed_counts(docs: DataFrame, items: Items) -> dict[int, int]:
@@ -269,7 +402,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def keep(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                clean = [not copies_in(hashes_of(t), sent.value) for t in batch.column("text").to_pylist()]
+                clean = [not holds_copy(hashes_of(t), sent.value) for t in batch.column("text").to_pylist()]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         docs = docs.mapInArrow(keep, StructType(docs.schema.fields))
