@@ -35,6 +35,8 @@ FEATURES = 1 << FEATURE_BITS
 CLUSTERS = 4
 # Learning rows of a language.
 LANGUAGE_ROWS = 1_000
+# Groups of input partitions that rank the rows of a language each for itself, before the ranks of all.
+RANKED_APART = 256
 ROUNDS = 8
 REJECT_SHARE, REJECT_QUANTILE = 0.6, 0.001
 UNKNOWN = "und"
@@ -179,18 +181,28 @@ def fit(rows: list[tuple[str, str]]) -> LanguageModel:
     return model
 
 
+def smallest(rows: DataFrame, *order: Column | str) -> DataFrame:
+    """``rows`` (with lang) with at, their place by ``order``: the first ``LANGUAGE_ROWS`` of each language.
+
+    Groups of input partitions choose theirs first, so that no task ranks a whole language.
+    """
+    group = F.pmod(F.spark_partition_id(), F.lit(RANKED_APART))
+    of_group = F.row_number().over(Window.partitionBy("lang", "group").orderBy(*order))
+    of_all = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    first = rows.withColumn("group", group).withColumn("at", of_group).filter(F.col("at") <= LANGUAGE_ROWS)
+    return first.withColumn("at", of_all).filter(F.col("at") <= LANGUAGE_ROWS).drop("group")
+
+
 def sampled(docs: DataFrame, learned: Column) -> DataFrame:
     """lang, at, text: the ``LANGUAGE_ROWS`` rows of each language with the smallest hashes, whatever the partitions are."""
     rows = docs.filter(learned & F.col("lang").isNotNull() & F.col("text").isNotNull())
     rows = rows.select("lang", F.xxhash64(F.col("doc_id"), F.lit(7)).alias("o"), "text")
-    # Only keys take part in the choice, each partition's smallest first; then the chosen rows' texts are read.
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("o"))
-    chosen = rows.select("lang", "o").withColumn("place", place).filter(F.col("place") <= LANGUAGE_ROWS)
+    # Only keys take part in the choice; then the chosen rows' texts are read.
+    chosen = smallest(rows.select("lang", "o"), "o")
     last = stored(chosen.groupBy("lang").agg(F.max("o").alias("last")), "sample-bounds")
     near = rows.join(last, "lang").filter(F.col("o") <= F.col("last")).drop("last")
     # Again, for rows that repeat a doc_id.
-    at = F.row_number().over(Window.partitionBy("lang").orderBy("o", F.xxhash64("text")))
-    return near.withColumn("at", at).filter(F.col("at") <= LANGUAGE_ROWS).select("lang", "at", "text")
+    return smallest(near, "o", F.xxhash64("text")).select("lang", "at", "text")
 
 
 def learn(docs: DataFrame, learned: Column) -> LanguageModel:
