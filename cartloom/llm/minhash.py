@@ -123,14 +123,21 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 
 
 def buckets(classes: DataFrame, collection: int = COLLECTION) -> DataFrame:
-    """key, class, n: the tables' buckets of two classes and more."""
-    first = F.slice("keys", 1, collection)
-    second = F.slice("keys", collection + 1, collection)
-    rows = classes.select("class", "n", F.explode(first).alias("a"), second.alias("second")).select(
-        "class", "n", "a", F.explode("second").alias("b")
-    )
+    """key, class, n: the tables' buckets of two classes and more.
+
+    A pair of keys is shared only where each of them is, so the pairs are made of keys that two classes and more have.
+    """
     # Keys of different places in a collection never agree but by chance, as the place is mixed in.
-    keyed = rows.select(F.xxhash64("a", "b").alias("key"), "class", "n")
+    single = classes.select("class", "n", F.posexplode("keys").alias("place", "key"))
+    met = single.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1").select("key")
+    first = F.collect_list(F.when(F.col("place") < collection, F.col("key")))
+    second = F.collect_list(F.when(F.col("place") >= collection, F.col("key")))
+    of_class = single.join(met, "key").groupBy("class").agg(
+        F.first("n").alias("n"), first.alias("first"), second.alias("second")
+    )
+    rows = of_class.select("class", "n", F.explode("first").alias("a"), "second")
+    keyed = rows.select("class", "n", "a", F.explode("second").alias("b")).select(F.xxhash64("a", "b").alias("key"), "class", "n")
+    keyed = stored(keyed, "keyed")
     shared = keyed.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1")
     return keyed.join(shared, "key")
 
