@@ -22,8 +22,10 @@ def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Language ID, learned from the labels of ``docs``: without the documents that it rejects."""
     prepared(spark)
     model = language.learn(columns(docs, ("doc_id", "text", "lang")), F.lit(True))
-    kept = language.identify(docs.select(F.struct("*").alias("row"), "text"), model).filter("NOT rejected")
-    return kept.select("row.*")
+    # Other columns under names that can't clash with those added; each text is sent once.
+    names = ["text" if c == "text" else f"column_{i}" for i, c in enumerate(docs.columns)]
+    kept = language.identify(docs.toDF(*names), model).filter("NOT rejected")
+    return kept.select(*names).toDF(*docs.columns)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
