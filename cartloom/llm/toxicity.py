@@ -36,6 +36,9 @@ TREES, DEPTH, STEP = 25, 4, 0.2
 # times as often as in others.
 WORD_SHARE, WORD_TEXTS, WORD_LIFT = 0.03, 10, 8.0
 MOST_WORDS = 300
+# Learning texts of one label whose words agree in so many minimum hashes count once there: all of equal words, and of others
+# a share of their similarity to that power.
+COPY_HASHES = 4
 # Lengths of word beginnings, marked with a star: words inflect.
 BEGINNINGS = (4, 5)
 # Words to either side in which a second person makes an insult personal.
@@ -61,8 +64,8 @@ SECOND_PERSON = frozenset(
 )
 WORD = re.compile(r"[^\W\d_]+")
 SIGN_FOR_LETTER = re.compile(r"[\d@$!*]")
-DISGUISED = re.compile(r"[\w@$!*]+")
-SPELLED = re.compile(r"(?<![^\W_])(?:[^\W\d_][ .\-_*]){3,}[^\W\d_](?![^\W_])")
+DISGUISED = re.compile(r"(?:[^\W_]|[@$!*])+")
+SPELLED = re.compile(r"(?<![^\W_])(?:[^\W\d_][ .\-_*]){2,}[^\W\d_](?![^\W_])")
 DRAWN_OUT = re.compile(r"(.)\1{2,}")
 PLAIN = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i"})
 NOT_LETTERS = re.compile(r"[^a-z]+")
@@ -73,8 +76,26 @@ FEATURES = (
 ).split()
 
 
+def shortened(token: str) -> tuple[str, ...]:
+    """``token``, and where it has drawn-out characters also with these once and twice."""
+    if not DRAWN_OUT.search(token):
+        return (token,)
+    return token, DRAWN_OUT.sub(r"\1", token), DRAWN_OUT.sub(r"\1\1", token)
+
+
+def read_insult(token: str) -> str | None:
+    """The insult that ``token`` spells with digits and signs for letters, if any; marks behind a word are no disguise."""
+    for form in shortened(token):
+        plain = form.translate(PLAIN)
+        for reading in (plain, plain.rstrip("i"), form.replace("1", "l").translate(PLAIN), NOT_LETTERS.sub("", form)):
+            if reading in LEXICON and reading != form.rstrip("!*"):
+                return reading
+    return None
+
+
 def disguised_insults(lowered: str) -> list[str]:
-    """Insults that are not spelled as words."""
+    """Insults that are not spelled as words: with digits and signs in them, letter by letter, or drawn out. Underscores part
+    words; tokens may have any length."""
     found = []
     done = 0
     for m in SIGN_FOR_LETTER.finditer(lowered):
@@ -85,24 +106,22 @@ def disguised_insults(lowered: str) -> list[str]:
             start -= 1
         token = DISGUISED.match(lowered, start).group()
         done = start + len(token)
-        if 3 <= len(token) <= 24:
-            plain = token.translate(PLAIN)
-            for reading in (plain, plain.rstrip("i"), token.replace("1", "l").translate(PLAIN), NOT_LETTERS.sub("", token)):
-                if reading in LEXICON and reading != token.rstrip("!*"):
-                    found.append(reading)
-                    break
+        if insult := read_insult(token):
+            found.append(insult)
     for m in SPELLED.finditer(lowered):
         joined = NOT_LETTERS.sub("", m.group())
         found += [w for w in (joined,) if w in LEXICON]
+    done = 0
     for m in DRAWN_OUT.finditer(lowered):
         start, end = m.span()
-        while start and lowered[start - 1].isalpha():
+        if start < done:
+            continue
+        while start > done and lowered[start - 1].isalpha():
             start -= 1
         while end < len(lowered) and lowered[end].isalpha():
             end += 1
-        if end - start <= 60:
-            token = lowered[start:end]
-            found += [w for w in (DRAWN_OUT.sub(r"\1", token), DRAWN_OUT.sub(r"\1\1", token)) if w in LEXICON][:1]
+        done = end
+        found += [w for w in shortened(lowered[start:end])[1:] if w in LEXICON][:1]
     return found
 
 
@@ -161,15 +180,19 @@ def sample(docs: DataFrame, labels: DataFrame, learned: Column) -> DataFrame:
     order = F.xxhash64(F.col("doc_id"), F.lit(11))
     chosen = known.distinct().orderBy(order, "doc_id", "toxic").limit(SAMPLE_ROWS)
     for_trees = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(13)), F.lit(1000)) < int(1000 * TREE_SHARE)
-    return columns(docs, ("doc_id", "text")).join(chosen, "doc_id").withColumn("for_trees", for_trees)
+    # At most SAMPLE_ROWS pairs of numbers: the texts stay where they are.
+    return columns(docs, ("doc_id", "text")).join(F.broadcast(chosen), "doc_id").withColumn("for_trees", for_trees)
+
+
+def least_hash(words: str, seed: int) -> Column:
+    return F.array_min(F.transform(words, lambda w: F.xxhash64(w, F.lit(seed))))
 
 
 def marking_words(rows: DataFrame) -> frozenset[str]:
     """Words and beginnings of words that toxic texts of ``rows`` hold much more often than others; at most ``MOST_WORDS``."""
     words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
-    # Copies of a text share the smallest hash of a word with few exceptions: they count once.
     texts = rows.select("toxic", words.alias("words"))
-    texts = texts.withColumn("copy", F.array_min(F.transform("words", lambda w: F.xxhash64(w))))
+    texts = texts.withColumn("copy", F.xxhash64(*[least_hash("words", k) for k in range(COPY_HASHES)]))
     texts = stored(texts.dropDuplicates(["toxic", "copy"]), "learning-words")
     toxic = F.sum("toxic")
     size = texts.agg(toxic.alias("toxic"), F.count("*").alias("n")).first()

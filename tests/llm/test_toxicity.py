@@ -1,3 +1,7 @@
+import random
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
 from cartloom.llm import toxicity
@@ -53,4 +57,67 @@ def test_held_out_accuracy(spark):
     found = toxicity.score(docs, known, ~held_out).join(known.filter(held_out), "doc_id")
     right = ((F.col("score") >= 0.7).cast("int") == F.col("toxic")).cast("int")
     accuracy = {r["toxic"]: r["a"] for r in found.groupBy("toxic").agg(F.avg(right).alias("a")).collect()}
-    assert accuracy[0] >= 0.99 and accuracy[1] >= 0.65
+    assert accuracy[0] >= 0.99 and accuracy[1] >= 0.8
+
+
+def slow_rates(text):
+    """The counts behind the rates, token by token."""
+    words = toxicity.WORD.findall(text.lower())
+    insults = [i for i, w in enumerate(words) if w in toxicity.LEXICON]
+    persons = [i for i, w in enumerate(words) if w in toxicity.SECOND_PERSON]
+    n, n_chars = max(len(words), 1), max(len(text), 1)
+    letters = max(sum(c.isalpha() for c in text.lower()), 1)
+    return {
+        "insult_rate": len(insults) / n,
+        "insult_kinds": len({words[i] for i in insults}),
+        "personal_rate": sum(any(abs(i - p) <= toxicity.NEAR for p in persons) for i in insults) / n,
+        "second_person_rate": len(persons) / n,
+        "capitals": sum(c.isupper() for c in text) / letters,
+        "shouted": sum(w.isupper() and len(w) > 2 for w in text.split()) / n,
+        "exclamations": text.count("!") / n_chars,
+        "questions": text.count("?") / n_chars,
+        "signs": sum(not c.isalnum() and not c.isspace() for c in text) / n_chars,
+        "digits": sum(c.isdigit() for c in text) / n_chars,
+    }
+
+
+def test_rates_against_token_by_token():
+    rng = random.Random(8)
+    vocabulary = ["idiot", "You", "your", "SCUM", "moron!", "tree", "Oak", "1d10t", "what?", "x9", "naïve", "--", "LOUD", "pig"]
+    for _ in range(200):
+        text = " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(40)))
+        for name, expected in slow_rates(text).items():
+            assert abs(rate(text, name) - expected) < 1e-12, (name, text)
+
+
+@pytest.mark.parametrize("insult", ["idiot", "stupid", "rat", "motherfucker"])
+def test_disguises_of_any_length(insult):
+    long = insult.replace("t", "t" * 70, 1)
+    for text in (long, f"x_{insult.replace('t', '7')}_y", " ".join(insult), ".".join(insult), insult.replace("t", "7" * 90)):
+        assert insult in toxicity.disguised_insults(f"so {text} end"), text
+    assert insult in toxicity.disguised_insults(insult[0] + insult[1:].replace("i", "1").replace("a", "@").replace("o", "0"))
+    for text in (insult, f"{insult}!", f"{insult}!!!", f"a {insult}* b"):
+        assert toxicity.disguised_insults(text) == [], text
+
+
+def test_disguises_take_linear_time():
+    begin = time.process_time()
+    for text in ("abc" * 400_000, "aaabbb" * 200_000, "a1" * 500_000, "a b " * 250_000, "1" * 1_000_000, "_a_1" * 250_000):
+        toxicity.disguised_insults(text)
+    assert time.process_time() - begin < 20
+
+
+def test_texts_that_differ_are_learned_from_each(spark):
+    """Copies, however many, count once; texts that share some words do not."""
+    one = [(1, f"shared {sentence(i, 12)} gadzook") for i in range(40)]
+    copies = [(1, "the same text again with zounds") for _ in range(60)]
+    other = [(0, f"shared {sentence(i + 3, 12)} plain{i}") for i in range(200)]
+    frame = prepared(spark).createDataFrame(one + copies + other, "toxic int, text string")
+    marked = toxicity.marking_words(frame)
+    assert "gadzook" in marked and "zounds" not in marked and "shared" not in marked
+
+
+def test_texts_are_not_shuffled_for_the_sample(spark):
+    docs, known = documents(prepared(spark), [(1, "a")]), labels(spark, [(1, 1)])
+    plan = toxicity.sample(docs, known, F.lit(True))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
