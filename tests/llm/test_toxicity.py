@@ -109,9 +109,10 @@ def test_disguises_take_linear_time():
 
 def test_texts_that_differ_are_learned_from_each(spark):
     """Copies, however many, count once; texts that share some words do not."""
-    one = [(1, f"shared {sentence(i, 12)} gadzook") for i in range(40)]
+    own = lambda i: " ".join("".join("abcdefghij"[int(c)] for c in str(10**5 + 20 * i + k)) for k in range(12))
+    one = [(1, f"shared {own(i)} gadzook") for i in range(40)]
     copies = [(1, "the same text again with zounds") for _ in range(60)]
-    other = [(0, f"shared {sentence(i + 3, 12)} plain{i}") for i in range(200)]
+    other = [(0, f"shared {own(1000 + i)} plain") for i in range(200)]
     frame = prepared(spark).createDataFrame(one + copies + other, "toxic int, text string")
     marked = toxicity.marking_words(frame)
     assert "gadzook" in marked and "zounds" not in marked and "shared" not in marked
