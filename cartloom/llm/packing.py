@@ -2,8 +2,8 @@
 
 The linear grouping scheme: the large pieces are sorted by length and cut into groups of equal cardinality, each length
 counts as its group's largest, the few sizes that are left are combined into configurations by a linear program
-with column generation, each place of a configuration is given to an actual piece of its group, and what is left over
-and the small pieces go where they fit best.
+with column generation, each place of a configuration is given to an actual piece (the last one to the longest that
+still fits, so that little of the rounding is lost), and what is left over and the small pieces go where they fit best.
 
 All of that needs only the number of pieces of each length, a histogram with as many rows as a sequence
 has tokens, whatever the input. The plan on the driver is made from it and says for ranges of ranks among the pieces of
@@ -29,12 +29,11 @@ from cartloom.llm.shared import columns, stored
 from cartloom.llm.tokenizing import encoder
 
 CAPACITY = 2048
-# Pieces over this share of a sequence are large.
-LARGE_SHARE = 1 / 16
+# Pieces from this share of a sequence on are large.
+LARGE_SHARE = 1 / 8
 GROUPS = 64
-# A sequence of the linear program stands if its actual pieces leave so many tokens at most to the small ones; the pieces
-# of others are fitted with the small ones.
-SLACK = 4
+# A copy of a configuration stands if its actual pieces leave so many tokens at most to the small ones.
+SLACK = 256
 # The linear program ends within this share of its least number of sequences.
 TOLERANCE = 1e-3
 # Pieces that a rank bucket of one length holds on average at most.
@@ -79,24 +78,55 @@ class Bins:
     free: int
 
 
-def grouped(counts: np.ndarray, least: int, groups: int) -> list[list[list[int]]]:
-    """The pieces of ``least`` tokens and more, longest first, in ``groups`` groups of equal cardinality; each is a list
-    of [length, count], so its first length is what all of it is rounded up to."""
+def group_sizes(counts: np.ndarray, least: int, groups: int) -> list[tuple[int, int]]:
+    """The pieces of ``least`` tokens and more, longest first, in ``groups`` groups of equal cardinality: the length that
+    a group is rounded up to, its longest, and its pieces. Groups that round to one length are one."""
     total = int(counts[least:].sum())
-    out: list[list[list[int]]] = []
-    if not total:
-        return out
     each, room = -(-total // groups), 0
+    sizes: dict[int, int] = {}
+    size = 0
     for length in range(len(counts) - 1, least - 1, -1):
         left = int(counts[length])
         while left:
             if not room:
-                out.append([])
-                room = each
+                size, room = length, each
             take = min(left, room)
-            out[-1].append([length, take])
+            sizes[size] = sizes.get(size, 0) + take
             left, room = left - take, room - take
-    return out
+    return list(sizes.items())
+
+
+def substitute(
+    counts: np.ndarray, places: list[int], copies: int, least: int, slack: int, bins: list[Bins]
+) -> None:
+    """Give the places of a configuration, so many copies of it, to actual pieces, which leave ``counts``.
+
+    A place gets the longest large piece left that its size holds; the last one gets the longest that the tokens left
+    hold, which takes up what the others lost by rounding. Copies without a piece for each place, or that would leave more
+    than ``slack`` tokens, are left out.
+    """
+    capacity = len(counts) - 1
+    while copies:
+        lengths: list[int] = []
+        room = capacity
+        for n, size in enumerate(places, 1):
+            top = room if n == len(places) else min(size, room)
+            left = counts[: top + 1].copy()
+            for length in lengths:
+                if length <= top:
+                    left[length] -= 1
+            fitting = np.flatnonzero(left[least:] > 0)
+            if not len(fitting):
+                return
+            lengths.append(least + int(fitting[-1]))
+            room -= lengths[-1]
+        if room > slack:
+            return
+        # All copies are alike until one of the lengths runs out.
+        same = min([copies] + [int(counts[x]) // lengths.count(x) for x in set(lengths)])
+        np.subtract.at(counts, lengths, same)
+        bins.append(Bins(same, lengths, room))
+        copies -= same
 
 
 def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, float]]:
@@ -139,51 +169,28 @@ def plan_sequences(
     counts: np.ndarray, groups: int = GROUPS, large_share: float = LARGE_SHARE, slack: int = SLACK
 ) -> list[Bins]:
     """Sequences for ``counts[length]`` pieces of each length; the capacity is the largest index."""
+    bins, rest = planned_large(counts, groups, large_share, slack)
+    return best_fit(bins, rest)
+
+
+def planned_large(
+    counts: np.ndarray, groups: int = GROUPS, large_share: float = LARGE_SHARE, slack: int = SLACK
+) -> tuple[list[Bins], np.ndarray]:
+    """The sequences of large pieces by their configurations, and the counts of all other pieces."""
     capacity = len(counts) - 1
-    counts = counts.astype(np.int64).copy()
+    rest = counts.astype(np.int64)
     bins: list[Bins] = []
-    if counts[capacity]:
-        bins.append(Bins(int(counts[capacity]), [capacity], 0))
-        counts[capacity] = 0
+    if rest[capacity]:
+        bins.append(Bins(int(rest[capacity]), [capacity], 0))
+        rest[capacity] = 0
     least = max(1, int(capacity * large_share))
-    queues = grouped(counts, least, groups)
-    if queues:
-        # Groups that round to one length are one size.
-        merged: dict[int, list[list[int]]] = {}
-        for queue in queues:
-            merged.setdefault(queue[0][0], []).extend(queue)
-        sizes = np.array(list(merged), dtype=np.int64)
-        queues = list(merged.values())
-        demand = np.array([sum(c for _, c in q) for q in queues], dtype=float)
-        for config, used in configurations(sizes, demand, capacity):
-            left = min([int(used + 1e-6)] + [sum(c for _, c in queues[i]) // int(k) for i, k in enumerate(config) if k])
-            slots = [i for i, k in enumerate(config) for _ in range(int(k))]
-            while slots and left:
-                # The copies until the first of the places would get another length.
-                wanted = {i: slots.count(i) for i in set(slots)}
-                same = min([left] + [queues[i][0][1] // k for i, k in wanted.items()])
-                if same:
-                    lengths = [queues[i][0][0] for i in slots]
-                    for i, k in wanted.items():
-                        queues[i][0][1] -= same * k
-                        counts[queues[i][0][0]] -= same * k
-                else:
-                    same, lengths = 1, []
-                    for i in slots:
-                        while not queues[i][0][1]:
-                            queues[i].pop(0)
-                        queues[i][0][1] -= 1
-                        counts[queues[i][0][0]] -= 1
-                        lengths.append(queues[i][0][0])
-                for i in wanted:
-                    while queues[i] and not queues[i][0][1]:
-                        queues[i].pop(0)
-                left -= same
-                if (free := capacity - sum(lengths)) <= slack:
-                    bins.append(Bins(same, lengths, free))
-                else:
-                    np.add.at(counts, lengths, same)
-    return best_fit(bins, counts)
+    if grouped := group_sizes(rest, least, groups):
+        sizes, demand = (np.array(x) for x in zip(*grouped))
+        found = configurations(sizes, demand.astype(float), capacity)
+        # The most frequent first, while there is most choice of pieces.
+        for config, used in sorted(found, key=lambda c: -c[1]):
+            substitute(rest, np.repeat(sizes, config).tolist(), int(used + 1e-6), least, slack, bins)
+    return bins, rest
 
 
 def best_fit(bins: list[Bins], counts: np.ndarray) -> list[Bins]:

@@ -123,6 +123,29 @@ def test_plans_place_every_piece_once(seed):
     assert len(set(zip(runs["length"], runs["rank"]))) == len(runs["rank"])
 
 
+@pytest.mark.parametrize("scale", [1, 100_000])
+def test_configurations_place_the_large_pieces(scale):
+    rng = np.random.default_rng(7)
+    lengths = np.minimum(rng.lognormal(6, 1, 20_000).astype(int) + 1, 2048)
+    counts = np.bincount(lengths, minlength=2049) * scale
+    bins, rest = packing.planned_large(counts)
+    large = slice(int(2048 * packing.LARGE_SHARE), 2048)
+    assert rest[large].sum() <= 0.1 * counts[large].sum()
+    placed = rest.copy()
+    for b in bins:
+        assert sum(b.lengths) + b.free == 2048 and b.free >= 0
+        np.add.at(placed, b.lengths, b.copies)
+    assert (placed == counts).all()
+    least = -(-int((counts * np.arange(2049)).sum()) // 2048)
+    assert sum(b.copies for b in packing.plan_sequences(counts)) <= 1.005 * least
+
+
+def test_group_sizes_have_equal_cardinality():
+    assert packing.group_sizes(np.bincount([9, 8, 8, 7, 5, 4, 3, 1], minlength=11), 3, 4) == [(9, 2), (8, 2), (5, 2), (3, 1)]
+    assert packing.group_sizes(np.bincount([6] * 10, minlength=11), 3, 4) == [(6, 10)]
+    assert packing.group_sizes(np.zeros(11, dtype=int), 3, 4) == []
+
+
 def test_configurations_reach_the_linear_optimum():
     sizes, demand = np.array([50, 30, 20]), np.array([10.0, 10.0, 10.0])  # ten full sequences hold them all
     found = packing.configurations(sizes, demand, 100)
