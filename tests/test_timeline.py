@@ -3,6 +3,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from cartloom.operators import dense_timeline, expand_days, rolling_sum, running_sum
 
@@ -58,6 +59,26 @@ def test_against_brute_force(spark, seed):
     assert run(spark, starts, amounts, windows, first, last) == brute_force(starts, amounts, windows, first, last)
 
 
+def test_days_are_spread_over_tasks(spark):
+    # Few steps that expand to many days: a task holds about its share of the days, not all.
+    first, last = dt.date(2020, 1, 1), dt.date(2020, 12, 31)
+    starts = [(f"k{n}", first + (n % 30) * DAY) for n in range(200)]
+    amounts = [(f"k{n}", first + (n % 30 + 3) * DAY, n) for n in range(200)]
+    df = dense_timeline(
+        spark.createDataFrame(starts, "k string, start date"),
+        spark.createDataFrame(amounts, "k string, day date, amount bigint"),
+        key="k", start="start", day="day", measures={"spent": "amount"}, windows=(7,),
+        first=first, last=last, days_per_task=2_000,
+    )
+    per_task = df.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    days = sum(r["count"] for r in per_task)
+    assert days == sum((last - start).days + 1 for _, start in starts)
+    assert len(per_task) >= days // 2_000
+    assert max(r["count"] for r in per_task) <= 4 * 2_000
+    got = sorted(tuple(r) for r in df.collect())
+    assert got == brute_force(starts, amounts, (7,), first, last)
+
+
 def test_key_without_amounts_has_zeros(spark):
     day = dt.date(2020, 2, 28)
     rows = run(spark, [("a", day)], [], (7,), day, day + DAY)
