@@ -48,6 +48,8 @@ COMPARED_AT_ONCE = 256
 SIZE_STEP = 1.02
 # Rare shingles that a row of the exact path carries along at most.
 CARRIED = 64
+# Hash bins of a set's shingles: a pair shares at most the sum, over the bins, of the smaller count.
+BINS = 128
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -228,6 +230,10 @@ def rare_shingle_pairs(crowd: DataFrame, texts: DataFrame, percent: int = PERCEN
 
     held = crowd.select("class").join(texts, "class").dropDuplicates(["class"])
     tokens = stored(held.mapInArrow(spread, "class long, token long"), "crowd")
+    counted = tokens.groupBy("class", F.pmod("token", F.lit(BINS)).alias("bin")).agg(F.count("*").cast("int").alias("c"))
+    counts = counted.groupBy("class").agg(F.map_from_entries(F.collect_list(F.struct("bin", "c"))).alias("m"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: F.coalesce(F.element_at("m", i.cast("long")), F.lit(0)))
+    bins = stored(counts.select("class", dense.alias("bins")), "bins")
     common = tokens.groupBy("token").agg(F.count("*").alias("df"))
     order = Window.partitionBy("class").orderBy("df", "token")
     placed = tokens.join(common, "token").withColumn("place", F.row_number().over(order))
@@ -237,7 +243,8 @@ def rare_shingle_pairs(crowd: DataFrame, texts: DataFrame, percent: int = PERCEN
     # What a pair shares further on, it has met by before: the shingles up to there go along, up to a bound.
     earlier = Window.partitionBy("class").orderBy("place").rowsBetween(-CARRIED, -1)
     before = F.when(F.col("place") <= CARRIED, F.collect_list("token").over(earlier))
-    rows = stored(rows.select("token", "place", "class", "n", "comp").withColumn("before", before), "prefixes")
+    rows = rows.select("token", "place", "class", "n", "comp").withColumn("before", before).join(bins, "class")
+    rows = stored(rows, "prefixes")
     index = rows.filter(F.col("place") <= n - overlap(n, n, percent) + 1).withColumn("step", size_step(n))
     least = F.ceil(n * percent / 100.0 - 1e-9)
     probe = rows.withColumn("step", F.explode(F.sequence(size_step(least), size_step(n))))
@@ -251,17 +258,20 @@ def rare_shingle_pairs(crowd: DataFrame, texts: DataFrame, percent: int = PERCEN
     )
     a = index.join(main, ["token", "step"]).select(
         "token", "step", "comps", F.col("class").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"),
-        F.col("place").alias("px"), F.col("before").alias("bx"), (F.col("comp") == F.col("main")).alias("x_main"),
+        F.col("place").alias("px"), F.col("before").alias("bx"), F.col("bins").alias("kx"), (F.col("comp") == F.col("main")).alias("x_main"),
     )
     b = probe.join(main, ["token", "step"]).select(
         "token", "step", F.col("class").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"),
-        F.col("place").alias("py"), F.col("before").alias("by"), (F.col("comp") == F.col("main")).alias("y_main"),
+        F.col("place").alias("py"), F.col("before").alias("by"), F.col("bins").alias("ky"), (F.col("comp") == F.col("main")).alias("y_main"),
     )
     smaller = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))
     reach = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py")) + 1
     fits = (F.col("cx") != F.col("cy")) & smaller & sizes_fit(F.col("nx"), F.col("ny"), percent)
     fits = fits & (reach >= overlap(F.col("nx"), F.col("ny"), percent))
     fits = fits & ~F.coalesce(F.arrays_overlap("bx", "by"), F.lit(False))
+    # An exact bound, so that large groups of near copies that are not linked do not all reach the confirmation.
+    most = F.aggregate(F.zip_with("kx", "ky", lambda p, q: F.least(p, q)), F.lit(0), lambda acc, v: acc + v)
+    fits = fits & (most >= overlap(F.col("nx"), F.col("ny"), percent))
     on = ["token", "step"]
     first = a.join(b.filter("NOT y_main"), on).filter(fits)
     second = a.filter("NOT x_main").join(b.filter("y_main"), on).filter(fits)

@@ -113,3 +113,25 @@ def test_collection_keys_agree_where_all_their_hashes_do():
     keys = minhash.collection_keys(s)
     assert len(keys) == 2 * minhash.COLLECTION == len(set(keys.tolist()))
     assert (keys == minhash.collection_keys(np.sort(s))).all()
+
+
+def test_rare_shingle_pairs_of_unlinked_near_copies_stay_few(spark):
+    """Many copies of one text, each too far from the others to link, share their rarest shingles: all links, few pairs."""
+    rng = random.Random(11)
+    base = sentence(2, 150)
+    data = []
+    for i in range(400):  # edits within the first words: the copies share the rest, and its rarest shingles
+        words = base.split()
+        for at in rng.sample(range(20), 4):
+            words[at] = f"edit{i}x{at}"
+        data.append((i, " ".join(words)))
+    sets = [minhash.shingles(t) for _, t in data]
+    by_class = {minhash.class_of(s): s for s in sets}
+    crowd = spark.createDataFrame([(c, len(s), c) for c, s in by_class.items()], "class long, n long, comp long")
+    texts = spark.createDataFrame([(minhash.class_of(s), t) for s, (_, t) in zip(sets, data)], "class long, text string")
+    pairs = {frozenset((r["left"], r["right"])) for r in minhash.rare_shingle_pairs(crowd, texts.distinct()).collect()}
+    links = {
+        frozenset((a, b)) for (a, s), (b, t) in itertools.combinations(by_class.items(), 2) if minhash.linked(s, t)
+    }
+    assert links and links <= pairs
+    assert len(pairs) <= 3 * len(by_class)  # 1,598 pairs of 400 classes before the bound, 731 after
